@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, packing, store
-from parallax.llm.common import Scratch
+from parallax.llm import bytebpe, html, language, packing, quality, rules, store
+from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -19,23 +21,47 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    space = quality.learn(docs, labels, fold("doc_id", 5) != 0)
+    return quality.score(docs, space).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks, recipes, _ = store.write(documents(spark, sf_dir), WORD_BPE, Scratch(spark, "op2"))
     return store.digests(chunks, recipes)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs, fold("doc_id", 4) != 2, PIECES)
+    return language.predict(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op6_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(bytebpe.encode(documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir), Scratch(spark, "op8")).drop("lang", "source")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_store": op2_store,
+        "op3_language": op3_language,
         "op6_bytebpe": op6_bytebpe,
+        "op7_html": op7_html,
+        "op8_rules": op8_rules,
         "op10_packing": op10_packing,
     }
 
