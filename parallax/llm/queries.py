@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, language, packing, quality, rules, store
+from parallax.llm import bytebpe, html, language, packing, quality, rules, store, suffixes
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(documents(spark, sf_dir), Scratch(spark, "op4"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(bytebpe.encode(documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN))
 
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_store": op2_store,
         "op3_language": op3_language,
+        "op4_suffixes": op4_suffixes,
         "op6_bytebpe": op6_bytebpe,
         "op7_html": op7_html,
         "op8_rules": op8_rules,
