@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, language, packing, quality, rules, store, suffixes
+from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, store, suffixes
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +55,10 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(documents(spark, sf_dir), Scratch(spark, "op8")).drop("lang", "source")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir), Scratch(spark, "op9"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bytebpe": op6_bytebpe,
         "op7_html": op7_html,
         "op8_rules": op8_rules,
+        "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
     }
 
