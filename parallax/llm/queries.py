@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, store, suffixes
+from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, store, suffixes, vectors
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "op5"))
+
+
 def op6_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(bytebpe.encode(documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN))
 
@@ -63,17 +67,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_store": op2_store,
         "op3_language": op3_language,
         "op4_suffixes": op4_suffixes,
+        "op5_vectors": op5_vectors,
         "op6_bytebpe": op6_bytebpe,
         "op7_html": op7_html,
         "op8_rules": op8_rules,
         "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
+        "pipeline": pipeline,
     }
 
 

@@ -1,12 +1,11 @@
 """Removal of repeated byte strings: depth-limited ordering of suffixes by most significant digits."""
 
-from __future__ import annotations
-
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parallax.llm.common import Scratch, partitions, slices, table_of
@@ -279,18 +278,18 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
     return spans.where(F.col("kind") == OUT).union(late).groupBy("doc_id", "text_crc").agg(F.collect_list("span").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Every document with what is left of its bytes: doc_id, n_bytes, n_removed, n_spans, spans, kept (binary).
 
     A byte goes if a string of depth bytes that covers it also starts earlier: in a document of smaller id, or
     earlier in the same one. Strings are judged on the input; they may overlap, and never cross documents. A null text
     is empty. A null id is smaller than any other; rows of one id are ordered by the crc32 of their texts, and rows
     equal in both are one document, whose result each of them gets. An empty table gives no rows. Columns other than
-    the two named are not read. Strings are compared by 64 and 128-bit hashes of all their bytes.
+    the two named are not read, but for those to carry along. Strings are compared by 64 and 128-bit hashes of all their bytes.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.crc32(text).alias("text_crc"), text.alias("data"))
-    spans = repeated_spans(rows, scratch, depth)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.crc32(text).alias("text_crc"), text.alias("data"), *carry)
+    spans = repeated_spans(rows.drop(*carry), scratch, depth)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
@@ -306,7 +305,20 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col:
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 kept = b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
                 out.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(runs), [{"start": a, "end": b} for a, b in runs], kept))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+            own = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+            yield pa.RecordBatch.from_arrays([*own, *(batch.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", *carry])
 
+    schema = ", ".join(["doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)])
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-    return rows.join(spans, ["doc_id", "text_crc"], "left").select("doc_id", "data", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary")
+    return rows.join(spans, ["doc_id", "text_crc"], "left").select("doc_id", "data", "spans", *carry).mapInArrow(cut, schema)
+
+
+
+def as_text(column: str) -> Column:
+    """Bytes as text, without parts of characters that a cut has left."""
+
+    @F.pandas_udf("string")
+    def text(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    return text(F.col(column))
