@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -35,12 +36,13 @@ class Scratch:
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.clear)
 
-    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        """Writes df and reads it back; shuffle files of the jobs before it can then go."""
+    def save(self, df: DataFrame, name: str, by: str | None = None, small: bool = False) -> DataFrame:
+        """Writes df and reads it back; shuffle files of the jobs before it can then go, which isn't awaited if small."""
         path = f"{self.root}/{name}"
         writer = df.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(path)
-        free(self.spark)
+        if not small:
+            free(self.spark)
         return self.spark.read.parquet(path)
 
     def drop(self, name: str = "") -> None:
@@ -57,8 +59,10 @@ class Scratch:
 
 def free(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first pass finds unused holds on to the rest until the second
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.4)  # the cleaner works beside
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -133,7 +137,7 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     passes follows its logarithm. Nodes without edges are not returned.
     """
     i = 0
-    now = scratch.save(_oriented(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))), "cc-0")
+    now = scratch.save(_oriented(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))), "cc-0", small=True)
     before = None
     while True:
         # large star: every larger neighbour of a node is linked to the smallest neighbour
@@ -145,7 +149,7 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
         small = large.join(least, "a")
         small = _oriented(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))))
         i += 1
-        now = scratch.save(small, f"cc-{i}")
+        now = scratch.save(small, f"cc-{i}", small=True)
         print_ = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if i > 1:
             scratch.drop(f"cc-{i - 1}")
