@@ -7,7 +7,6 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +16,27 @@ from parallax.llm.common import Scratch, components, partitions, slices, sorted_
 WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
 MOST_LONG = 1 << 20  # of the longest lists are told to the tasks; the order of shingles may be any, so this drops nothing
-COUNTED = np.uint64(int(0.35 * 2**64))  # lists are measured of shingles whose hash is below; others count as short
+NAMED = 16  # low bits of a shingle's hash that are left off where the length of its list is told
 REMEMBERED = 500_000  # classes or pairs that a task remembers, so as not to send them twice
 BLOCK = 256  # partners of one query to a group
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_byte = np.random.default_rng(20260804).integers(1, 2**63, 256, dtype=np.uint64)
+_held: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base from 0 on, and of its inverse."""
+    if not _held or len(_held[0]) < n:
+        size = max(n, 1 << 21)
+        _held[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, np.uint64(x)))) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _held
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ x >> np.uint64(31)
     x = x * _MIX
@@ -36,27 +49,38 @@ def sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     Only A-Z are lower-cased; words are runs without ASCII white space. A text of fewer than five words has its whole
     sequence as one shingle, one without words none. Shingles are 64-bit hashes of all their words' bytes.
     """
-    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    if not sizes.sum():
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    flat = np.empty(sizes.sum(), object)
-    flat[:] = [w for ws in words for w in ws]
-    h = pd.util.hash_array(flat, categorize=False)
-    ends = np.cumsum(sizes)
-    out, counts = [], []
-    for end, n in zip(ends, sizes):
-        own = h[end - n : end]
-        k = min(WORDS, n)
-        if k:
-            s = np.full(n - k + 1, np.uint64(k))
-            for j in range(k):
-                s = s * np.uint64(_BASE) + own[j : n - k + 1 + j]
-            s = np.unique(mix(s))
-            out.append(s)
-            counts.append(len(s))
+    data = [(t or "").encode("utf-8", "surrogatepass").lower() + b"\n" for t in texts]
+    lengths = np.array([len(d) for d in data], np.int64)
+    b = np.frombuffer(b"".join(data), np.uint8)
+    inside = ~_SPACE[b]
+    starts = np.flatnonzero(inside & np.append(True, ~inside[:-1]))
+    stops = np.flatnonzero(~inside & np.append(False, inside[:-1]))
+    # a word's hash: the sum of its bytes' numbers times powers that rise along the buffer, brought back to power 0
+    powers, inverse = _powers(len(b) + 1)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_byte[b] * powers[: len(b)], out=sums[1:])
+    h = mix((sums[stops] - sums[starts]) * inverse[starts])
+    edges = np.searchsorted(starts, np.append(0, np.cumsum(lengths)))
+    whole = np.full(max(0, len(h) - WORDS + 1), np.uint64(WORDS))
+    for j in range(WORDS):
+        whole = whole * np.uint64(_BASE) + h[j : len(h) - WORDS + 1 + j] if len(whole) else whole
+    whole = mix(whole)
+    out, counts = [np.zeros(0, np.uint64)], []
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        n = hi - lo
+        if n >= WORDS:
+            s = np.sort(whole[lo : hi - WORDS + 1])
+            s = s[np.append(True, s[1:] != s[:-1])]
+        elif n:
+            s = np.full(1, np.uint64(n))
+            for j in range(lo, hi):
+                s = s * np.uint64(_BASE) + h[j]
+            s = mix(s)
         else:
             counts.append(0)
+            continue
+        out.append(s)
+        counts.append(len(s))
     flat = np.concatenate(out)
     counts = np.array(counts, np.int64)
     keys = np.zeros(len(texts), np.uint64)
@@ -135,13 +159,13 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             known = held.value
             is_long = np.zeros(len(flat), bool)
             if len(known) and len(flat):
-                is_long = known[np.minimum(np.searchsorted(known, flat), len(known) - 1)] == flat
+                is_long = known[np.minimum(np.searchsorted(known, flat >> np.uint64(NAMED)), len(known) - 1)] == flat >> np.uint64(NAMED)
             token, key, size, pos = [], [], [], []
             for k in _first_of_task(keys, counts, seen):
                 m = int(counts[k])
@@ -238,6 +262,16 @@ def _can(size_a, pos_a, size_b, pos_b):
     return (4 * small >= 3 * large) & (room >= least) & (small_pos < small - -(-6 * small // 7) + 1)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second ones, and so on: small numbers compress well so."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _numbers(planes: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
     """The shingles with the longest lists, sorted; at most MOST_LONG, which bounds what is broadcast.
 
@@ -251,19 +285,18 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
         size = 0
 
         def flush():
-            names, times = np.unique(np.concatenate(held), return_counts=True)
-            width = int(COUNTED) // n + 1
+            names, times = np.unique(np.concatenate(held) >> np.uint64(NAMED), return_counts=True)
+            width = (1 << 64 - NAMED) // n + 1
             edges = np.searchsorted(names, np.array([k * width for k in range(1, n)], np.uint64))
             parts = list(zip(np.split(names, edges), np.split(times.astype("<u4"), edges)))
-            return table_of(_run, part=range(n), names=[a.tobytes() for a, _ in parts], times=[b.tobytes() for _, b in parts])
+            return table_of(_run, part=range(n), names=[_planes(np.diff(a, prepend=np.uint64(0))) for a, _ in parts], times=[_planes(b) for _, b in parts])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             for k in _first_of_task(keys, counts, seen):
-                own = flat[ends[k] - counts[k] : ends[k]]
-                held.append(own[: np.searchsorted(own, COUNTED)])
-                size += len(held[-1])
+                held.append(flat[ends[k] - counts[k] : ends[k]])
+                size += counts[k]
             if size > 2_000_000:
                 yield flush()
                 held, size = [], 0
@@ -272,8 +305,8 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
 
     def long(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sorted_groups(batches, ["part"], most=64):
-            names = np.concatenate([np.frombuffer(b, np.uint64) for b in t.column("names").to_pylist()])
-            times = np.concatenate([np.frombuffer(b, "<u4") for b in t.column("times").to_pylist()])
+            names = np.concatenate([np.cumsum(_numbers(b, np.uint64)) for b in t.column("names").to_pylist()])
+            times = np.concatenate([_numbers(b, np.dtype("<u4")) for b in t.column("times").to_pylist()])
             order = np.argsort(names, kind="stable")
             names, times = names[order], times[order].astype(np.int64)
             if len(names):
@@ -296,7 +329,7 @@ def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Sc
     holders = wanted.join(members.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key")
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             keep = np.flatnonzero(keys == batch.column("key").to_numpy())
@@ -358,7 +391,7 @@ def join(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def of_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             _, counts, keys = sets(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, mask=counts == 0), pa.array(counts)], names=["doc_id", "key", "n_shingles"])
 
