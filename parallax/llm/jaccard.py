@@ -17,7 +17,7 @@ WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
 MOST_LONG = 1 << 20  # of the longest lists are told to the tasks; the order of shingles may be any, so this drops nothing
 NAMED = 16  # low bits of a shingle's hash that are left off where the length of its list is told
-REMEMBERED = 500_000  # classes or pairs that a task remembers, so as not to send them twice
+REMEMBERED = 100_000  # classes or pairs that a task remembers, so as not to send them twice
 BLOCK = 256  # partners of one query to a group
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
@@ -159,7 +159,7 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             known = held.value
@@ -196,22 +196,28 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     lists = scratch.save(dealt.mapInArrow(shared, POSTING), "lists")
 
     def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
+        met: dict[tuple[int, int], int] = {}
         hub = None
+
+        def flush():
+            if met:
+                yield table_of(_met, a=[p[0] for p in met], b=[p[1] for p in met], n=list(met.values()))
+                met.clear()
+
         for batch in batches:
-            out = []
             for token, key, size, pos in zip(*(batch.column(c).to_pylist() for c in ("token", "key", "size", "pos"))):
-                if hub is None or hub[0] != token or not _can(hub[2], hub[3], size, pos):
+                if hub is None or hub[0] != token or not _can_one(hub[2], hub[3], size, pos):
                     hub = (token, key, size, pos)
-                elif key != hub[1] and (pair := (hub[1], key)) not in seen:
-                    if len(seen) > REMEMBERED:
-                        seen.clear()
-                    seen.add(pair)
-                    out.append(pair)
-            if out:
-                yield table_of(_pair, a=[p[0] for p in out], b=[p[1] for p in out])
-
-    first = scratch.save(lists.mapInArrow(stars, "a long, b long").distinct(), "first")
+                elif key != hub[1]:
+                    met[hub[1], key] = met.get((hub[1], key), 0) + 1
+            if len(met) > REMEMBERED:
+                yield from flush()
+        yield from flush()
+
+    # of the smallest sets that a set meets, the one it meets most often
+    first = lists.mapInArrow(stars, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    first = first.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
+    first = scratch.save(first, "first")
     first_links = scratch.save(_verified(rows, members, first, scratch, "1"), "links-1")
     found = components(first_links, scratch)
     placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", F.coalesce("component", "key").alias("component"))
@@ -253,6 +259,11 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     return first_links.union(_verified(rows, members, rest, scratch, "2"))
 
 
+def _can_one(size_a: int, pos_a: int, size_b: int, pos_b: int) -> bool:
+    """_can() of single numbers, size_a being the smaller size."""
+    return 4 * size_a >= 3 * size_b and min(size_a - pos_a, size_b - pos_b) >= needed(size_a, size_b) and (pos_a if size_a < size_b else min(pos_a, pos_b)) < size_a - -(-6 * size_a // 7) + 1
+
+
 def _can(size_a, pos_a, size_b, pos_b):
     """Whether sets that share the shingles at these places may link: by size, by place, and by the smaller's prefix."""
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
@@ -291,13 +302,13 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
             parts = list(zip(np.split(names, edges), np.split(times.astype("<u4"), edges)))
             return table_of(_run, part=range(n), names=[_planes(np.diff(a, prepend=np.uint64(0))) for a, _ in parts], times=[_planes(b) for _, b in parts])
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             for k in _first_of_task(keys, counts, seen):
                 held.append(flat[ends[k] - counts[k] : ends[k]])
                 size += counts[k]
-            if size > 2_000_000:
+            if size > 1_000_000:
                 yield flush()
                 held, size = [], 0
         if size:
@@ -329,7 +340,7 @@ def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Sc
     holders = wanted.join(members.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key")
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             keep = np.flatnonzero(keys == batch.column("key").to_numpy())
@@ -375,6 +386,7 @@ def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Sc
 POSTING = "token long, key long, size int, pos int"
 _posting = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
 _pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_met = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 _run = pa.schema([("part", pa.int32()), ("names", pa.binary()), ("times", pa.binary())])
 _set = pa.schema([("key", pa.int64()), ("tokens", pa.binary())])
 
@@ -391,7 +403,7 @@ def join(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def of_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             _, counts, keys = sets(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, mask=counts == 0), pa.array(counts)], names=["doc_id", "key", "n_shingles"])
 
