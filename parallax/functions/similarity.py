@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 MATCH, NEAR = 70.0, 95.0
 
@@ -40,12 +41,12 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 def allocation(strata: DataFrame, size: int, by: list[str]) -> DataFrame:
     """Each stratum's share of a sample: size * n / total, rounded half to even, and at most n."""
     counts = strata.groupBy(*by).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(*by, "n", F.least("n", F.bround(size * F.col("n") / F.col("total")).cast("long")).alias("share"))  # total is one row
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))  # a row for each stratum, so few
+    return counts.withColumn("_total", total).select(*by, "n", F.least("n", F.bround(size * F.col("n") / F.col("_total")).cast("long")).alias("share"))
 
 
 def stratified(items: DataFrame, size: int, by: list[str], key: str, seed: int = 20260815) -> DataFrame:
