@@ -142,8 +142,8 @@ def _first_of_task(keys: np.ndarray, counts: np.ndarray, seen: set) -> list[int]
     return new
 
 
-def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) pairs of set keys with a Jaccard index of 0.75 or more, enough of them to give all components.
+def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component): the components of set keys that link by a Jaccard index of 0.75 or more.
 
     rows: doc_id, text. members: doc_id, key, n_shingles. A pair that links shares a shingle among the first of each
     set in an order common to all, 1/4 of the larger and 1/7 of the smaller set. The order puts shingles with long
@@ -214,12 +214,10 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    # of the smallest sets that a set meets, the one it meets most often
-    first = lists.mapInArrow(stars, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    first = first.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
+    first = lists.mapInArrow(stars, "a long, b long, n long").select("a", "b").distinct()
     first = scratch.save(first, "first")
     first_links = scratch.save(_verified(rows, members, first, scratch, "1"), "links-1")
-    found = components(first_links, scratch)
+    found = scratch.save(_grouped(first_links, scratch), "found")
     placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", F.coalesce("component", "key").alias("component"))
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +254,29 @@ def links(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = scratch.save(rest.join(tested, ["a", "b"], "left_anti"), "rest")
     scratch.drop("lists")
-    return first_links.union(_verified(rows, members, rest, scratch, "2"))
+    late = scratch.save(_verified(rows, members, rest, scratch, "2"), "links-2")
+    return _composed(found, components(_between(late, found), scratch))
+
+
+def _grouped(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components of many links: of one link for each set first, then of the links between what these give."""
+    found = scratch.save(components(pairs.groupBy("b").agg(F.min("a").alias("a")), scratch), "grouped")
+    return _composed(found, components(_between(pairs, found), scratch))
+
+
+def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The distinct pairs of components that links join; a key in no component is its own."""
+    of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    a, b = F.coalesce("ca", "a"), F.coalesce("cb", "b")
+    return named.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
+
+
+def _composed(found: DataFrame, over: DataFrame) -> DataFrame:
+    """(node, component), where the components of found are joined as over has it."""
+    names = over.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    own = found.join(names, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
+    return own.union(over.join(found.select("node"), "node", "left_anti").select("node", "component"))
 
 
 def _can_one(size_a: int, pos_a: int, size_b: int, pos_b: int) -> bool:
@@ -408,7 +428,7 @@ def join(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, mask=counts == 0), pa.array(counts)], names=["doc_id", "key", "n_shingles"])
 
     members = scratch.save(rows.mapInArrow(of_sets, "doc_id long, key long, n_shingles long"), "members")
-    found = components(links(rows, members, scratch), scratch)
+    found = linked(rows, members, scratch)
     classes = members.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     placed = classes.join(found.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
