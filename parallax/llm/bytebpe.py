@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parallax.llm.common import slices
-from parallax.llm.vocab import IRREGULAR
 
+IRREGULAR = re.compile(r"\s \S?| \s")  # white space beside a space: such a text isn't cut at spaces
 MOST_CACHED_CHARS = 8_000_000
 _own: dict = {}
 

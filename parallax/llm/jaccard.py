@@ -295,12 +295,12 @@ def _can(size_a, pos_a, size_b, pos_b):
 
 def _planes(numbers: np.ndarray) -> bytes:
     """The numbers' first bytes, then their second ones, and so on: small numbers compress well so."""
-    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
 
 
 def _numbers(planes: bytes, kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, len(planes) // width).T).view(kind).ravel()
 
 
 def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:

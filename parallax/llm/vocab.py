@@ -1,8 +1,9 @@
 """Piecewise encoding with a public vocabulary of the tokenizers library.
 
-A text is cut at single spaces. In both vocabularies used here a space that stands between two characters that are
-not white space always ends one pre-token and starts the next, so pieces can be encoded one by one; equal pieces are
-encoded once for a worker. Texts in which white space runs occur are left to the library whole.
+A text is cut at single spaces and line ends. In both vocabularies used here either one, if it stands between two
+characters that are not white space, always ends one pre-token and starts the next, so pieces can be encoded one by
+one; equal pieces are encoded once for a worker. Where white space counts, texts with runs of it are left to the
+library whole.
 """
 
 from __future__ import annotations
@@ -11,11 +12,16 @@ import re
 
 import numpy as np
 
-IRREGULAR = re.compile(r"\s \S?| \s")
-MOST_CACHED_CHARS = 8_000_000
+RARE_SPACE = re.compile(r"[^\S \n]")
+MOST_CACHED_CHARS = 12_000_000
 _encoders: dict = {}
 
 
+def irregular(text: str) -> bool:
+    """Whether white space stands at an end or beside other white space, or is neither a space nor a line end."""
+    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1].isspace() or text[-1:].isspace() or RARE_SPACE.search(text) is not None
+
+
 class PieceEncoder:
     """encode() returns each text's ids as little-endian unsigned 32-bit integers."""
 
@@ -32,6 +38,18 @@ class PieceEncoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, pieces: list[str], gap: str, lead: int) -> list[bytes]:
+        """The ids of pieces without white space at their ends, encoded as one text and told apart by place."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        starts = np.cumsum(sizes + 1) - sizes - 1 + (1 if lead else 0)
+        e = self.tokenizer.encode((gap if lead else "") + gap.join(pieces), add_special_tokens=False)
+        at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+        owner = np.searchsorted(starts - lead, at, "right") - 1
+        own = at < (starts + sizes)[owner]  # what is left is the gaps' own
+        ids = np.array(e.ids, "<u4")[own].tobytes()
+        edges = (4 * np.searchsorted(owner[own], np.arange(len(pieces) + 1))).tolist()
+        return [ids[i:j] for i, j in zip(edges, edges[1:])]
+
     def _learn(self, cache: dict, pieces: set, lead: str) -> None:
         new = [p for p in pieces if p not in cache]
         if self.chars > MOST_CACHED_CHARS:  # new starts afresh with what this call needs
@@ -39,26 +57,34 @@ class PieceEncoder:
             self.rest.clear()
             self.chars = 0
             new = list(pieces)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            cache.update(zip(part, self._library([lead + p for p in part])))
         self.chars += sum(map(len, new))
+        alone = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
+        if alone:
+            cache.update(zip(alone, self._library([lead + p for p in alone])))
+            new = [p for p in new if p not in cache]
+        for i in range(0, len(new), 5_000):
+            part = new[i : i + 5_000]
+            cache.update(zip(part, self._together(part, " " if lead or not self.spaces_count else "\n", len(lead))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         whole: list[int] = []
-        for lo in range(0, len(texts), 64):
+        for lo in range(0, len(texts), 256):
             cut = []
-            for text in texts[lo : lo + 64]:
+            for text in texts[lo : lo + 256]:
                 text = text or ""
-                irregular = self.spaces_count and IRREGULAR.search(text)
-                cut.append(None if irregular else text.split(" "))
+                if self.spaces_count:
+                    # a line's end is a piece of its own; each line's first piece has no space before it
+                    cut.append(None if irregular(text) else [line.split(" ") for line in text.split("\n")])
+                else:
+                    cut.append(text.replace("\n", " ").split(" "))
             if self.spaces_count:
-                self._learn(self.rest, set().union(*(c[1:] for c in cut if c)), " ")
+                tails = set().union(*(line[1:] for c in cut if c for line in c))
+                self._learn(self.rest, tails, " ")
                 kept = self.chars
-                self._learn(self.first, {c[0] for c in cut if c}, "")
+                self._learn(self.first, {line[0] for c in cut if c for line in c} | {"\n"}, "")
                 if self.chars < kept:  # the cache was emptied meanwhile
-                    self._learn(self.rest, set().union(*(c[1:] for c in cut if c)), " ")
+                    self._learn(self.rest, tails, " ")
             else:
                 self._learn(self.first, set().union(*(c for c in cut if c)), "")
             first, rest = self.first, self.rest
@@ -67,7 +93,7 @@ class PieceEncoder:
                     whole.append(lo + k)
                     out.append(b"")
                 elif self.spaces_count:
-                    out.append(first[c[0]] + b"".join([rest[p] for p in c[1:]]))
+                    out.append(first["\n"].join([first[line[0]] + b"".join([rest[p] for p in line[1:]]) for line in c]))
                 else:
                     out.append(b"".join([first[p] for p in c]))
         if whole:
