@@ -11,11 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices
+from parallax.llm.common import slices, worker_cache
 
 IRREGULAR = re.compile(r"\s \S?| \s")  # white space beside a space: such a text isn't cut at spaces
 MOST_CACHED_CHARS = 8_000_000
-_own: dict = {}
 
 
 class BytePairs:
@@ -160,9 +159,10 @@ class BytePairs:
 
 
 def coder(path: str, pattern: str) -> BytePairs:
-    if path not in _own:
-        _own[path] = BytePairs(path, pattern)
-    return _own[path]
+    kept = worker_cache("bytebpe")
+    if path not in kept:
+        kept[path] = BytePairs(path, pattern)
+    return kept[path]
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

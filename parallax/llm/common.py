@@ -57,6 +57,16 @@ class Scratch:
             pass
 
 
+_kept: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """What a Python worker keeps between the tasks of one operator; what it kept for another one goes."""
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other).clear()
+    return _kept.setdefault(name, {})
+
+
 def free(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove shuffle files that nothing refers to any more."""
     for _ in range(2):  # what the first pass finds unused holds on to the rest until the second

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, components, partitions, slices, sorted_groups, table_of
+from parallax.llm.common import Scratch, components, partitions, slices, sorted_groups, table_of, worker_cache
 
 WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
@@ -26,15 +26,15 @@ _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _byte = np.random.default_rng(20260804).integers(1, 2**63, 256, dtype=np.uint64)
-_held: list[np.ndarray] = []
 
 
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of the base from 0 on, and of its inverse."""
-    if not _held or len(_held[0]) < n:
+    kept = worker_cache("jaccard")
+    if not kept or len(kept["powers"][0]) < n:
         size = max(n, 1 << 21)
-        _held[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, np.uint64(x)))) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _held
+        kept["powers"] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, np.uint64(x)))) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return kept["powers"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices
+from parallax.llm.common import slices, worker_cache
 
 LETTERS = regex.compile(r"\p{L}+")
 LEAD = "▁"  # the vocabulary's sign for the start of a word
 LONG = 60  # letters from which a word is scored by itself, with rescaling
 SCALE = 16.0  # times a character's share, so that the products of words stay in range
-MOST_WORDS = 400_000  # that a worker remembers
-_scorers: dict = {}
+MOST_WORDS = 200_000  # that a worker remembers
 
 
 def sample(docs: DataFrame, train, per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -191,9 +190,10 @@ def predict(docs: DataFrame, model: Model, evidence: int = 10, id_col: str = "do
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        if _scorers.get("model") is not m:
-            _scorers.update(model=m, scorer=Scorer(m))
-        scorer = _scorers["scorer"]
+        kept = worker_cache("language")
+        if kept.get("model") is not m:
+            kept.update(model=m, scorer=Scorer(m))
+        scorer = kept["scorer"]
         for batch in slices(batches, "text"):
             best, score = [], []
             for logs, n in scorer.texts(batch.column("text").to_pylist()):

@@ -54,7 +54,7 @@ def pack(
     end_id: int = 1,
     linear: float = 1.0,
     quadratic: float = 1 / 2048,
-    group_tokens: int = 4_000_000,
+    group_tokens: int = 1_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -102,7 +102,7 @@ def pack(
                 sequence += 1
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=ARROW)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             ids = encoder(vocabulary, True).encode(batch.column("text").to_pylist())
             for doc, one in zip(batch.column("id").to_pylist(), ids):
                 held.append((doc, one + end))

@@ -12,9 +12,10 @@ import re
 
 import numpy as np
 
+from parallax.llm.common import worker_cache
+
 RARE_SPACE = re.compile(r"[^\S \n]")
-MOST_CACHED_CHARS = 12_000_000
-_encoders: dict = {}
+MOST_CACHED_CHARS = 6_000_000
 
 
 def irregular(text: str) -> bool:
@@ -104,6 +105,7 @@ class PieceEncoder:
 
 def encoder(path: str, spaces_count: bool) -> PieceEncoder:
     """One encoder for each vocabulary in a Python worker."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path, spaces_count)
-    return _encoders[path]
+    kept = worker_cache("vocab")
+    if path not in kept:
+        kept[path] = PieceEncoder(path, spaces_count)
+    return kept[path]
