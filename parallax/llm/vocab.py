@@ -3,7 +3,7 @@
 A text is cut at single spaces and line ends. In both vocabularies used here either one, if it stands between two
 characters that are not white space, always ends one pre-token and starts the next, so pieces can be encoded one by
 one; equal pieces are encoded once for a worker. Where white space counts, texts with runs of it are left to the
-library whole.
+library whole. Where it doesn't, a word of letters and the punctuation after it are pre-tokens of their own.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from parallax.llm.common import worker_cache
 
 RARE_SPACE = re.compile(r"[^\S \n]")
 MOST_CACHED_CHARS = 6_000_000
+AFTER_WORDS = ".,;:!?)\""
 
 
 def irregular(text: str) -> bool:
@@ -35,6 +36,10 @@ class PieceEncoder:
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {} if spaces_count else self.first
         self.chars = 0
+        if not spaces_count:
+            suffix = self.tokenizer.model.end_of_word_suffix
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -51,6 +56,39 @@ class PieceEncoder:
         edges = (4 * np.searchsorted(owner[own], np.arange(len(pieces) + 1))).tolist()
         return [ids[i:j] for i, j in zip(edges, edges[1:])]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, told apart by the ids that end a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        edges = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+        if len(edges) != len(words) + 1:  # the normal form of some word isn't letters alone
+            return self._together(words, " ", 0)
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip(edges, edges[1:])]
+
+    def _learn_apart(self, pieces: set) -> list[str]:
+        """Learns words of letters, and pieces that are one with punctuation behind it; returns the other pieces."""
+        known = self.first
+        words, rest, others = [], [], []
+        for p in pieces:
+            (words if p.isalpha() else rest).append(p)
+        ended = []
+        cores = set()
+        for p in rest:
+            core = p.rstrip(AFTER_WORDS)
+            if core.isalpha() and core[-1].lower().isalpha():
+                ended.append((p, core))
+                cores.add(core)
+            else:
+                others.append(p)
+        words += cores.difference(known, pieces)
+        for i in range(0, len(words), 5_000):
+            known.update(zip(words[i : i + 5_000], self._words(words[i : i + 5_000])))
+        marks = {p[len(core) :] for p, core in ended}
+        marks = dict(zip(marks, self._library(list(marks))))
+        for p, core in ended:
+            known[p] = known[core] + marks[p[len(core) :]]
+        return others
+
     def _learn(self, cache: dict, pieces: set, lead: str) -> None:
         new = [p for p in pieces if p not in cache]
         if self.chars > MOST_CACHED_CHARS:  # new starts afresh with what this call needs
@@ -59,6 +97,8 @@ class PieceEncoder:
             self.chars = 0
             new = list(pieces)
         self.chars += sum(map(len, new))
+        if not self.spaces_count:
+            new = self._learn_apart(set(new))
         alone = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
         if alone:
             cache.update(zip(alone, self._library([lead + p for p in alone])))
@@ -68,35 +108,43 @@ class PieceEncoder:
             cache.update(zip(part, self._together(part, " " if lead or not self.spaces_count else "\n", len(lead))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        return self._lines(texts) if self.spaces_count else self._plain(texts)
+
+    def _plain(self, texts: list[str | None]) -> list[bytes]:
+        """encode() where white space only parts pieces."""
+        out: list[bytes] = []
+        for lo in range(0, len(texts), 256):
+            cut = [(text or "").replace("\n", " ").split(" ") for text in texts[lo : lo + 256]]
+            found = [list(map(self.first.get, c)) for c in cut]
+            new = {p for c, ids in zip(cut, found) if None in ids for p, i in zip(c, ids) if i is None}
+            self._learn(self.first, new, "")
+            for c, ids in zip(cut, found):
+                out.append(b"".join([self.first[p] if i is None else i for p, i in zip(c, ids)] if None in ids else ids))
+        return out
+
+    def _lines(self, texts: list[str | None]) -> list[bytes]:
+        """encode() where white space counts: a line's end is a piece of its own, and each line's first piece has no
+        space before it."""
         out: list[bytes] = []
         whole: list[int] = []
         for lo in range(0, len(texts), 256):
             cut = []
             for text in texts[lo : lo + 256]:
                 text = text or ""
-                if self.spaces_count:
-                    # a line's end is a piece of its own; each line's first piece has no space before it
-                    cut.append(None if irregular(text) else [line.split(" ") for line in text.split("\n")])
-                else:
-                    cut.append(text.replace("\n", " ").split(" "))
-            if self.spaces_count:
-                tails = set().union(*(line[1:] for c in cut if c for line in c))
+                cut.append(None if irregular(text) else [line.split(" ") for line in text.split("\n")])
+            tails = set().union(*(line[1:] for c in cut if c for line in c))
+            self._learn(self.rest, tails, " ")
+            kept = self.chars
+            self._learn(self.first, {line[0] for c in cut if c for line in c} | {"\n"}, "")
+            if self.chars < kept:  # the cache was emptied meanwhile
                 self._learn(self.rest, tails, " ")
-                kept = self.chars
-                self._learn(self.first, {line[0] for c in cut if c for line in c} | {"\n"}, "")
-                if self.chars < kept:  # the cache was emptied meanwhile
-                    self._learn(self.rest, tails, " ")
-            else:
-                self._learn(self.first, set().union(*(c for c in cut if c)), "")
             first, rest = self.first, self.rest
             for k, c in enumerate(cut):
                 if c is None:
                     whole.append(lo + k)
                     out.append(b"")
-                elif self.spaces_count:
-                    out.append(first["\n"].join([first[line[0]] + b"".join([rest[p] for p in line[1:]]) for line in c]))
                 else:
-                    out.append(b"".join([first[p] for p in c]))
+                    out.append(first["\n"].join([first[line[0]] + b"".join([rest[p] for p in line[1:]]) for line in c]))
         if whole:
             for k, ids in zip(whole, self._library([texts[k] or "" for k in whole])):
                 out[k] = ids

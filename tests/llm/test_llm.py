@@ -215,3 +215,18 @@ def test_pipeline_stages(spark):
         before = docs.count()
         docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
         assert 0 < docs.count() <= before
+
+
+def test_words_and_their_punctuation_are_encoded_as_the_library_does():
+    import random
+
+    import numpy as np
+
+    from parallax.llm.queries import WORD_BPE
+    from parallax.llm.vocab import PieceEncoder
+
+    draw = random.Random(5)
+    texts = ["", " ", "İstanbul. aİ. x", "don't. it's!?", "a\tb. \tc.", "x'. <|endoftext|>.", "가. 日本語。", "a</w>. ß!)", "A̸. ≠", "é. \xe9"]
+    texts += ["".join(draw.choice("aBZé́İßσ.,;:!?)\"' \n\t'sT1²<>​-") for _ in range(draw.randint(0, 30))) for _ in range(2_000)]
+    own = PieceEncoder(WORD_BPE, False)
+    assert own.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
