@@ -23,3 +23,28 @@ def needs_decision(manifest: DataFrame, truth: DataFrame, held_out: DataFrame, r
     """Documents that are neither held out nor rejected, and have no truth or a stale one."""
     fresh = truth.where(~F.coalesce("stale", F.lit(False)))
     return manifest.select("key").join(held_out, "key", "left_anti").join(rejected, "key", "left_anti").join(fresh, "key", "left_anti")
+
+
+def status(manifest: DataFrame, entries: DataFrame, truth: DataFrame, rejected: DataFrame, held_out: DataFrame) -> DataFrame:
+    """(metric, n_books): the coverage of the manifest's documents, each counted once. truth: key, source."""
+
+    def marked(keys: DataFrame, name: str) -> DataFrame:
+        return keys.select("key").distinct().withColumn(name, F.lit(True))
+
+    source = truth.groupBy("key").agg(F.coalesce(F.min("source"), F.lit("unknown")).alias("source"))
+    books = manifest.select("key").distinct().join(source, "key", "left")
+    for keys, name in ((entries, "read"), (rejected, "rejected"), (held_out, "held_out")):
+        books = books.join(marked(keys, name), "key", "left")
+    known, read, out = F.col("source").isNotNull(), F.col("read").isNotNull(), F.col("rejected").isNotNull()
+    metrics = {
+        "books": F.lit(True),
+        "truth": known,
+        "gated": F.col("source") == "bulk_gate",
+        "arbitrated": F.col("source") == "agent_arbitration",
+        "read": read,
+        "awaiting arbitration": read & ~known & ~out,
+        "rejected": out,
+        "held out": F.col("held_out").isNotNull(),
+    }
+    counts = books.agg(*(F.count_if(c).alias(m) for m, c in metrics.items()))
+    return counts.unpivot([], list(metrics), "metric", "n_books")

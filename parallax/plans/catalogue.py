@@ -247,6 +247,15 @@ def needs_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.needs_decision(orders, truth, orders.where("o_custkey % 20 = 0").select("key"), _rejected(spark, sf_dir))
 
 
+@registered(f"""WITH {sql.TRUTH}, {REJECTED}, books AS (SELECT DISTINCT o.o_orderkey AS key, t.source, o.o_orderkey IN (SELECT l_orderkey FROM lineitem) AS has_reading, o.o_orderkey IN (SELECT key FROM rejected) AS is_out, o.o_custkey % 20 = 0 AS is_held FROM orders o LEFT JOIN truth t ON t.key = o.o_orderkey)
+SELECT unnest(['books', 'truth', 'gated', 'arbitrated', 'read', 'awaiting arbitration', 'rejected', 'held out']) AS metric,
+  unnest([count(*), count(source), count_if(source = 'bulk_gate'), count_if(source = 'agent_arbitration'), count_if(has_reading), count_if(has_reading AND source IS NULL AND NOT is_out), count_if(is_out), count_if(is_held)])::BIGINT AS n_books FROM books""")
+def coverage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = adapters.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "key")
+    read = adapters.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"))
+    return catalog.status(orders, read, adapters.truth(spark, sf_dir), _rejected(spark, sf_dir), orders.where("o_custkey % 20 = 0"))
+
+
 @registered("SELECT o_custkey AS key, min(o_orderkey) AS first_position FROM orders GROUP BY 1")
 def requested_keys_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys as requested, in their first places."""
