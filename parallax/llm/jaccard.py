@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ MOST_LONG = 1 << 20  # of the longest lists are told to the tasks; the order of
 NAMED = 16  # low bits of a shingle's hash that are left off where the length of its list is told
 REMEMBERED = 100_000  # classes or pairs that a task remembers, so as not to send them twice
 BLOCK = 256  # partners of one query to a group
+NEAR = 4  # places in a list up to which sets are compared before all pairs are
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -148,9 +149,10 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     rows: doc_id, text. members: doc_id, key, n_shingles. A pair that links shares a shingle among the first of each
     set in an order common to all, 1/4 of the larger and 1/7 of the smaller set. The order puts shingles with long
     lists last. Each set's first shingles are dealt by shingle; pairs that meet in a list and can reach the needed
-    number by their sizes and places are verified by T-occurrence search over the whole sets. That is done twice: first
-    each set of a list with the list's smallest, then all pairs that are not yet in one component. So the pairs within
-    a large group of near copies are not listed, and no link between components is lost.
+    number by their sizes and places are verified by T-occurrence search over the whole sets. That is done three times:
+    first each set of a list with the list's smallest; then a few neighbours in each list, its order being its own; at
+    last all pairs that are not yet in one component. So the pairs within a large group of near copies are not listed,
+    and no link between components is lost.
     """
     spark = rows.sparkSession
     n = partitions(spark)
@@ -218,46 +220,70 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     first = scratch.save(first, "first")
     first_links = scratch.save(_verified(rows, members, first, scratch, "1"), "links-1")
     found = scratch.save(_grouped(first_links, scratch), "found")
-    placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", F.coalesce("component", "key").alias("component"))
+    def across(choose: Callable) -> Callable:
+        """Pairs of sets in different components; choose gives them as places from the start of a list."""
+
+        def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set = set()
+            for t in sorted_groups(batches, ["token"]):
+                token, key, size, pos, component = (t.column(c).to_numpy() for c in ("token", "key", "size", "pos", "component"))
+                new = np.ones(len(token), bool)
+                new[1:] = token[1:] != token[:-1]
+                starts = np.append(np.flatnonzero(new), len(token))
+                a, b = [], []
+                changed = np.append(0, np.cumsum(component[1:] != component[:-1]))
+                for lo, hi in zip(starts, starts[1:]):
+                    if changed[hi - 1] == changed[lo]:
+                        continue
+                    for i, j in choose(int(token[lo]), key[lo:hi], size[lo:hi]):
+                        i, j = i + lo, j + lo
+                        other = component[i] != component[j]
+                        i, j = i[other], j[other]
+                        if len(j):
+                            ok = _can(size[i], pos[i], size[j], pos[j])
+                            a.append(key[i[ok]])
+                            b.append(key[j[ok]])
+                if a:
+                    a, b = np.concatenate(a), np.concatenate(b)
+                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+                    fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
+                    if len(seen) > REMEMBERED:
+                        seen.clear()
+                    seen.update(fresh)
+                    if fresh:
+                        yield table_of(_pair, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
+
+        return pairs_of
+
+    def untested(choose: Callable, found: DataFrame, tested: DataFrame) -> DataFrame:
+        placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", F.coalesce("component", "key").alias("component"))
+        met = placed.repartition(n, "token").sortWithinPartitions("token", "size", "key").mapInArrow(across(choose), "a long, b long").distinct()
+        return met.join(tested, ["a", "b"], "left_anti")
 
-    def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for t in sorted_groups(batches, ["token"]):
-            token, key, size, pos, component = (t.column(c).to_numpy() for c in ("token", "key", "size", "pos", "component"))
-            new = np.ones(len(token), bool)
-            new[1:] = token[1:] != token[:-1]
-            starts = np.append(np.flatnonzero(new), len(token))
-            a, b = [], []
-            changed = np.append(0, np.cumsum(component[1:] != component[:-1]))
-            for lo, hi in zip(starts, starts[1:]):
-                if changed[hi - 1] == changed[lo]:
-                    continue
-                for i in range(lo, hi - 1):  # sizes ascend: the partners of i are those up to 4/3 of its size
-                    stop = lo + int(np.searchsorted(size[lo:hi], 4 * size[i] // 3, "right"))
-                    j = np.arange(i + 1, stop)
-                    j = j[(component[j] != component[i])]
-                    if len(j):
-                        j = j[_can(size[i], pos[i], size[j], pos[j])]
-                        a.append(np.full(len(j), key[i]))
-                        b.append(key[j])
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-                seen.update(fresh)
-                if fresh:
-                    yield table_of(_pair, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
-
-    rest = placed.repartition(n, "token").sortWithinPartitions("token", "size", "key").mapInArrow(across, "a long, b long").distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = scratch.save(rest.join(tested, ["a", "b"], "left_anti"), "rest")
+    near = scratch.save(untested(_neighbours, found, tested), "near")
+    near_links = scratch.save(_verified(rows, members, near, scratch, "2"), "links-2")
+    found = scratch.save(_composed(found, components(_between(near_links, found), scratch)), "found-2")
+    rest = scratch.save(untested(_all_pairs, found, tested.union(near)), "rest")
     scratch.drop("lists")
-    late = scratch.save(_verified(rows, members, rest, scratch, "2"), "links-2")
+    late = scratch.save(_verified(rows, members, rest, scratch, "3"), "links-3")
     return _composed(found, components(_between(late, found), scratch))
 
 
+def _neighbours(token: int, key: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the sets of a list that stand within NEAR of each other, in an order that differs from list to list."""
+    order = np.argsort(mix(mix(key.view(np.uint64)) ^ np.uint64(token & (1 << 64) - 1)), kind="stable")
+    for d in range(1, min(NEAR, len(key) - 1) + 1):
+        yield order[:-d], order[d:]
+
+
+def _all_pairs(token: int, key: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all sets of a list that may link by their sizes, which ascend."""
+    for i in range(len(key) - 1):
+        j = np.arange(i + 1, np.searchsorted(size, 4 * size[i] // 3, "right"))
+        yield np.full(len(j), i), j
+
+
 def _grouped(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """Components of many links: of one link for each set first, then of the links between what these give."""
     found = scratch.save(components(pairs.groupBy("b").agg(F.min("a").alias("a")), scratch), "grouped")
