@@ -22,9 +22,12 @@ def exploded(nested: DataFrame, *carried: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:
-    """Files <key>.<reader>.json; the key ends at the first dot. kind is vision where it isn't given."""
+    return named(spark.read.schema(READING).option("multiLine", True).json(f"{folder}/*.json"))
+
+
+def named(raw: DataFrame) -> DataFrame:
+    """Readings of files <key>.<reader>.json; the key ends at the first dot. kind is vision where it isn't given."""
     name = F.col("_metadata.file_name")
-    raw = spark.read.schema(READING).option("multiLine", True).json(f"{folder}/*.json")
     return raw.select(F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 1).alias("key"), F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 2).alias("reader"), F.coalesce("kind", F.lit("vision")).alias("kind"), "generated_at", "duration_seconds", "entries").where(F.size("entries") > 0)
 
 
