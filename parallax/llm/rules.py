@@ -9,8 +9,13 @@ from parallax.llm.common import Scratch
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
-#: The metrics held against adaptive fences, and the least fence of each: below it nothing fails, however even a group is.
-METRICS = {"symbols": 0.05, "dup_lines": 0.50, "repeats": 0.40, "word_length": 12.0, "capitals": 0.50}
+#: The metrics held against adaptive fences, and how far a fence stands above the upper quartile at the least: a guard
+#: for groups without any spread.
+METRICS = {"symbols": 0.01, "dup_lines": 0.01, "repeats": 0.01, "word_length": 0.1, "capitals": 0.01}
+#: Most sound texts have none of these, and those that have some differ widely: the quartiles are of values over zero.
+WHERE_ANY = {"dup_lines", "repeats"}
+#: A sketch of fewer values gives way to one of more groups.
+LEAST_VALUES = 20
 LEAST_WORDS = 50
 
 
@@ -79,17 +84,36 @@ def with_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def fences(measured: DataFrame, spread: float = 6.0, accuracy: int = 10_000) -> DataFrame:
-    """A row for each (lang, source): the upper fence of each metric.
+def base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
-    The quartiles come from mergeable quantile sketches over all documents of the group; sketches are built where the
-    rows lie and merged after, so a hot group is no larger than another. A fence is the upper quartile plus spread
-    times the distance between the quartiles, and at least the metric's own least fence.
+
+def fences(measured: DataFrame, scratch: Scratch, spread: float = 6.0, accuracy: int = 10_000) -> DataFrame:
+    """A row for each (lang, source) with a document that passes the base rules: the upper fence of each metric.
+
+    The quartiles come from mergeable quantile sketches over the documents that pass the base rules; sketches are built
+    where the rows lie and merged after, so a hot group is no larger than another. They are taken of each (lang,
+    source), each lang, each source and all. A fence is the upper quartile plus spread times the distance between the
+    quartiles: the first of these levels with LEAST_VALUES values gives the quartile (else all), and the first such
+    whose quartiles differ gives the distance, which counts as the metric's own guard at the least.
     """
-    quartiles = [F.percentile_approx(m, [0.25, 0.75], accuracy).alias(m) for m in METRICS]
-    sketched = measured.groupBy("lang", "source").agg(*quartiles)
-    fence = lambda m, least: F.greatest(F.get(m, F.lit(1)) + spread * (F.get(m, F.lit(1)) - F.get(m, F.lit(0))), F.lit(least)).alias(f"most_{m}")
-    return sketched.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *(fence(m, least) for m, least in METRICS.items()))
+    sound = measured.where(~base_failed())
+    of = lambda m: F.when(F.col(m) > 0, F.col(m)) if m in WHERE_ANY else F.col(m)
+    quartiles = [F.percentile_approx(of(m), [0.25, 0.75], accuracy).alias(m) for m in METRICS]
+    sketched = sound.cube("lang", "source").agg(F.grouping_id().alias("level"), *quartiles, *(F.count(of(m)).alias(f"n_{m}") for m in METRICS))
+    sketched = scratch.save(sketched, "quartiles", small=True)
+    level = lambda k: sketched.where(F.col("level") == k).select(F.col("lang").alias(f"lang_{k}"), F.col("source").alias(f"source_{k}"), *(F.col(c).alias(f"{c}_{k}") for m in METRICS for c in (m, f"n_{m}")))
+    own, lang, source, whole = (level(k) for k in range(4))  # grouping_id: 1 leaves the source out, 2 the language
+    own = own.join(lang, own["lang_0"].eqNullSafe(lang["lang_1"]), "left").join(source, own["source_0"].eqNullSafe(source["source_2"]), "left").crossJoin(whole)
+
+    def fence(m: str, guard: float) -> Column:
+        low, high = ([F.get(f"{m}_{k}", F.lit(i)) for k in range(4)] for i in (0, 1))
+        enough = [F.col(f"n_{m}_{k}") >= LEAST_VALUES for k in range(3)] + [F.lit(True)]
+        quartile = F.coalesce(*(F.when(e, h) for e, h in zip(enough, high)), F.lit(0.0))
+        distance = F.coalesce(*(F.when(e & (h > a), h - a) for e, a, h in zip(enough, low, high)), F.lit(0.0))
+        return (quartile + F.greatest(spread * distance, F.lit(guard))).alias(f"most_{m}")
+
+    return own.select(F.col("lang_0").alias("g_lang"), F.col("source_0").alias("g_source"), *(fence(m, guard) for m, guard in METRICS.items()))
 
 
 def judge(docs: DataFrame, scratch: Scratch, spread: float = 6.0, **columns: str) -> DataFrame:
@@ -101,10 +125,10 @@ def judge(docs: DataFrame, scratch: Scratch, spread: float = 6.0, **columns: str
     """
     counts = scratch.save(features(docs, **columns), "counts")
     measured = with_metrics(counts)
-    limits = fences(measured, spread)
+    limits = fences(measured, scratch, spread)
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["g_lang"]) & measured["source"].eqNullSafe(limits["g_source"]), "left")
-    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base = base_failed()
     within = F.lit(True)
     for m in METRICS:
-        within = within & (F.col(m) <= F.col(f"most_{m}"))
+        within = within & F.coalesce(F.col(m) <= F.col(f"most_{m}"), F.lit(False))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & within).alias("kept"), "lang", "source")
