@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, components, partitions, slices, sorted_groups, table_of, worker_cache
+from parallax.llm.common import Scratch, components, partitions, runs, slices, sorted_groups, table_of, worker_cache
 
 WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
@@ -19,6 +19,8 @@ MOST_LONG = 1 << 20  # of the longest lists are told to the tasks; the order of
 NAMED = 16  # low bits of a shingle's hash that are left off where the length of its list is told
 REMEMBERED = 100_000  # classes or pairs that a task remembers, so as not to send them twice
 BLOCK = 256  # partners of one query to a group
+LIST = 8192  # sets of a list that one task holds; a longer list is dealt in blocks of about half of it and more
+PIECE = 1 << 20  # pairs of sets that a task holds before it sends them
 NEAR = 4  # places in a list up to which sets are compared before all pairs are
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
@@ -152,49 +154,55 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     number by their sizes and places are verified by T-occurrence search over the whole sets. That is done three times:
     first each set of a list with the list's smallest; then a few neighbours in each list, its order being its own; at
     last all pairs that are not yet in one component. So the pairs within a large group of near copies are not listed,
-    and no link between components is lost.
+    and no link between components is lost. A list of over LIST sets is dealt in blocks, by the set's key (by key and
+    shingle for the neighbours); for all pairs each two blocks meet in a group of their own.
     """
     spark = rows.sparkSession
     n = partitions(spark)
-    longest = _long_lists(rows, n, scratch)
-    held = spark.sparkContext.broadcast(longest)
+    held = spark.sparkContext.broadcast(_long_lists(rows, n, scratch))
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in slices(batches, "text", 1 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
-            known = held.value
+            known, parts = held.value
             is_long = np.zeros(len(flat), bool)
+            blocks = np.zeros(len(flat), np.int32)
             if len(known) and len(flat):
-                is_long = known[np.minimum(np.searchsorted(known, flat >> np.uint64(NAMED)), len(known) - 1)] == flat >> np.uint64(NAMED)
-            token, key, size, pos = [], [], [], []
+                at = np.minimum(np.searchsorted(known, flat >> np.uint64(NAMED)), len(known) - 1)
+                is_long = known[at] == flat >> np.uint64(NAMED)
+                blocks[is_long] = parts[at[is_long]]
+            token, key, size, pos, block = [], [], [], [], []
             for k in _first_of_task(keys, counts, seen):
                 m = int(counts[k])
                 own, late = flat[ends[k] - m : ends[k]], is_long[ends[k] - m : ends[k]]
                 p = m - -(-3 * m // 4) + 1
-                first = np.concatenate([own[~late][:p], own[late][:p]])[:p] if late.any() else own[:p]
-                token.append(first)
+                order = np.argsort(late, kind="stable")[:p] if late.any() else np.arange(p)
+                token.append(own[order])
+                n_blocks = blocks[ends[k] - m : ends[k]][order]
+                # the number of blocks, and which of them, in one number; 0 for a list in one piece
+                block.append(np.where(n_blocks > 1, n_blocks << 16 | int(mix(keys[k : k + 1].view(np.uint64))[0] >> np.uint64(34)) % np.maximum(n_blocks, 1), 0).astype(np.int32))
                 key.append(np.full(p, keys[k]))
                 size.append(np.full(p, m, np.int32))
                 pos.append(np.arange(p, dtype=np.int32))
             if token:
-                yield table_of(_posting, token=np.concatenate(token).view(np.int64), key=np.concatenate(key), size=np.concatenate(size), pos=np.concatenate(pos))
+                yield table_of(_posting, token=np.concatenate(token).view(np.int64), key=np.concatenate(key), size=np.concatenate(size), pos=np.concatenate(pos), block=np.concatenate(block))
 
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The postings of shingles that two or more different sets hold."""
-        for t in sorted_groups(batches, ["token"]):
-            token, key = t.column("token").to_numpy(), t.column("key").to_numpy()
+        """The postings of shingles that two or more different sets hold; all of those that are dealt in blocks."""
+        for t in sorted_groups(batches, ["token", "block"]):
+            token, key, block = (t.column(c).to_numpy() for c in ("token", "key", "block"))
             new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            token = token[new]
+            new[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1]) | (key[1:] != key[:-1])
+            token, block = token[new], block[new]
             same = token[1:] == token[:-1]
-            two = np.zeros(len(token), bool)
+            two = block > 0
             two[1:] |= same
             two[:-1] |= same
             yield from t.take(pa.array(np.flatnonzero(new)[two])).to_batches()
 
-    dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token").sortWithinPartitions("token", "size", "key")
+    dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token", "block").sortWithinPartitions("token", "block", "size", "key")
     lists = scratch.save(dealt.mapInArrow(shared, POSTING), "lists")
 
     def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +215,9 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
                 met.clear()
 
         for batch in batches:
-            for token, key, size, pos in zip(*(batch.column(c).to_pylist() for c in ("token", "key", "size", "pos"))):
-                if hub is None or hub[0] != token or not _can_one(hub[2], hub[3], size, pos):
-                    hub = (token, key, size, pos)
+            for token, block, key, size, pos in zip(*(batch.column(c).to_pylist() for c in ("token", "block", "key", "size", "pos"))):
+                if hub is None or hub[0] != (token, block) or not _can_one(hub[2], hub[3], size, pos):
+                    hub = ((token, block), key, size, pos)
                 elif key != hub[1]:
                     met[hub[1], key] = met.get((hub[1], key), 0) + 1
             if len(met) > REMEMBERED:
@@ -220,67 +228,94 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     first = scratch.save(first, "first")
     first_links = scratch.save(_verified(rows, members, first, scratch, "1"), "links-1")
     found = scratch.save(_grouped(first_links, scratch), "found")
+
     def across(choose: Callable) -> Callable:
-        """Pairs of sets in different components; choose gives them as places from the start of a list."""
+        """Pairs of sets in different components; choose gives them as places from the start of a group."""
 
         def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set = set()
-            for t in sorted_groups(batches, ["token"]):
-                token, key, size, pos, component = (t.column(c).to_numpy() for c in ("token", "key", "size", "pos", "component"))
-                new = np.ones(len(token), bool)
-                new[1:] = token[1:] != token[:-1]
-                starts = np.append(np.flatnonzero(new), len(token))
-                a, b = [], []
+            a, b = [], []
+
+            def send():
+                pairs = np.concatenate(a), np.concatenate(b)
+                pairs = np.unique(np.stack([np.minimum(*pairs), np.maximum(*pairs)], 1), axis=0)
+                a.clear()
+                b.clear()
+                fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                seen.update(fresh[:REMEMBERED])
+                if fresh:
+                    yield table_of(_pair, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
+
+            for t in sorted_groups(batches, ["token", "low", "high"]):
+                token, low, high, block, key, size, pos, component = (t.column(c).to_numpy() for c in ("token", "low", "high", "block", "key", "size", "pos", "component"))
+                starts = np.append(runs([token, low, high]), len(token))
                 changed = np.append(0, np.cumsum(component[1:] != component[:-1]))
+                waiting = 0
                 for lo, hi in zip(starts, starts[1:]):
                     if changed[hi - 1] == changed[lo]:
                         continue
-                    for i, j in choose(int(token[lo]), key[lo:hi], size[lo:hi]):
+                    apart = low[lo] != high[lo]  # then pairs within a block are another group's
+                    for i, j in choose(int(token[lo]), key[lo:hi], size[lo:hi], pos[lo:hi]):
                         i, j = i + lo, j + lo
                         other = component[i] != component[j]
+                        if apart:
+                            other &= block[i] != block[j]
                         i, j = i[other], j[other]
                         if len(j):
                             ok = _can(size[i], pos[i], size[j], pos[j])
                             a.append(key[i[ok]])
                             b.append(key[j[ok]])
+                            waiting += len(a[-1])
+                            if waiting > PIECE:
+                                yield from send()
+                                waiting = 0
                 if a:
-                    a, b = np.concatenate(a), np.concatenate(b)
-                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                    fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
-                    if len(seen) > REMEMBERED:
-                        seen.clear()
-                    seen.update(fresh)
-                    if fresh:
-                        yield table_of(_pair, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
+                    yield from send()
 
         return pairs_of
 
-    def untested(choose: Callable, found: DataFrame, tested: DataFrame) -> DataFrame:
-        placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", F.coalesce("component", "key").alias("component"))
-        met = placed.repartition(n, "token").sortWithinPartitions("token", "size", "key").mapInArrow(across(choose), "a long, b long").distinct()
+    def untested(choose: Callable, found: DataFrame, tested: DataFrame, whole: bool) -> DataFrame:
+        """whole: all blocks of a list meet; else its sets are dealt anew into as many blocks, which don't."""
+        placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", "block", F.coalesce("component", "key").alias("component"))
+        count, own = F.shiftright("block", 16), F.col("block").bitwiseAND(65535)
+        if whole:
+            # a list in blocks is of use only if it holds two components, and a set that may be a pair's smaller one
+            of_use = placed.where("block > 0").groupBy("token").agg((F.min("component") < F.max("component")).alias("two"), F.min(F.expr("pos + int(ceil(6 * size / 7.0)) - size")).alias("first")).where("two and first < 1").select("token")
+            split = placed.where("block > 0").join(of_use, "token", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+            split = split.withColumns({"low": F.least(own, "other"), "high": F.greatest(own, "other")}).drop("other")
+            dealt = placed.where("block = 0").withColumns({"low": F.lit(0), "high": F.lit(0)}).unionByName(split)
+        else:
+            anew = F.when(F.col("block") > 0, F.pmod(F.xxhash64("token", "key"), count).cast("int")).otherwise(0)
+            dealt = placed.withColumns({"low": anew, "high": anew})
+        met = dealt.repartition(n, "token", "low", "high").sortWithinPartitions("token", "low", "high", "size", "key").mapInArrow(across(choose), "a long, b long").distinct()
         return met.join(tested, ["a", "b"], "left_anti")
 
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = scratch.save(untested(_neighbours, found, tested), "near")
+    near = scratch.save(untested(_neighbours, found, tested, False), "near")
     near_links = scratch.save(_verified(rows, members, near, scratch, "2"), "links-2")
     found = scratch.save(_composed(found, components(_between(near_links, found), scratch)), "found-2")
-    rest = scratch.save(untested(_all_pairs, found, tested.union(near)), "rest")
+    rest = scratch.save(untested(_all_pairs, found, tested.union(near), True), "rest")
     scratch.drop("lists")
     late = scratch.save(_verified(rows, members, rest, scratch, "3"), "links-3")
     return _composed(found, components(_between(late, found), scratch))
 
 
-def _neighbours(token: int, key: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _neighbours(token: int, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of the sets of a list that stand within NEAR of each other, in an order that differs from list to list."""
     order = np.argsort(mix(mix(key.view(np.uint64)) ^ np.uint64(token & (1 << 64) - 1)), kind="stable")
     for d in range(1, min(NEAR, len(key) - 1) + 1):
         yield order[:-d], order[d:]
 
 
-def _all_pairs(token: int, key: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of all sets of a list that may link by their sizes, which ascend."""
-    for i in range(len(key) - 1):
-        j = np.arange(i + 1, np.searchsorted(size, 4 * size[i] // 3, "right"))
+def _all_pairs(token: int, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all sets of a group that may link by their sizes, which ascend, and by the smaller one's place."""
+    leads = pos < size - -(-6 * size // 7) + 1
+    for i in np.flatnonzero(leads).tolist():
+        # of one size, a set that leads meets those before it that don't
+        same = np.arange(np.searchsorted(size, size[i], "left"), i)
+        j = np.append(same[~leads[same]], np.arange(i + 1, np.searchsorted(size, 4 * size[i] // 3, "right")))
         yield np.full(len(j), i), j
 
 
@@ -329,8 +364,10 @@ def _numbers(planes: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, len(planes) // width).T).view(kind).ravel()
 
 
-def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
-    """The shingles with the longest lists, sorted; at most MOST_LONG, which bounds what is broadcast.
+def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles with the longest lists, sorted, and into how many blocks each list goes (a power of two).
+
+    At most MOST_LONG, which bounds what is broadcast.
 
     Tasks send sorted runs of shingles with their counts, one for each range of hashes, so a shingle arrives at most
     once from each run however many documents hold it.
@@ -373,10 +410,12 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(names[starts][keep].view(np.int64)), pa.array(total[keep])], names=["token", "docs"])
 
     lists = rows.select("text").mapInArrow(counted, "part int, names binary, times binary").repartition(n, "part").sortWithinPartitions("part").mapInArrow(long, "token long, docs long")
-    longest = lists.orderBy(F.desc("docs"), "token").limit(MOST_LONG).select("token")
-    out = np.array([r[0] for r in longest.toLocalIterator()], np.int64).view(np.uint64)
-    out.sort()
-    return out
+    longest = lists.orderBy(F.desc("docs"), "token").limit(MOST_LONG).select("token", F.least("docs", F.lit((1 << 31) - 1)).cast("int").alias("docs"))
+    found = np.array([tuple(r) for r in longest.toLocalIterator()], np.dtype([("token", np.int64), ("docs", np.int32)]))
+    names, docs = found["token"].view(np.uint64), found["docs"].astype(np.int64)
+    order = np.argsort(names)
+    parts = 1 << np.ceil(np.log2(np.maximum(1, docs / LIST))).astype(np.int32)
+    return names[order], np.minimum(parts, 1 << 14)[order].astype(np.int32)
 
 
 def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -429,8 +468,8 @@ def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Sc
     return of_a.union(of_b).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(search, "a long, b long")
 
 
-POSTING = "token long, key long, size int, pos int"
-_posting = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
+POSTING = "token long, key long, size int, pos int, block int"
+_posting = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("block", pa.int32())])
 _pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _met = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 _run = pa.schema([("part", pa.int32()), ("names", pa.binary()), ("times", pa.binary())])

@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from parallax.llm import rules
+from parallax.llm import jaccard, rules
 from parallax.llm.common import Scratch
 
 
@@ -56,3 +56,35 @@ def test_rules_follow_the_spread_of_sound_texts(spark, scratch):
     want = {i: not base and all(f[m] <= fence(m, *r[:2]) for m in f) for i, (r, (f, base)) in enumerate(zip(rows, measured))}
     assert got == want
     assert not any(got[i] for i in (140, 143, 145, 147, 199)) and all(got[i] for i in (141, 144, 198))
+
+
+def test_long_lists_of_unlinked_variants_are_split(spark, scratch, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST", 16, raising=False)
+    draw = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(150):  # variants that share passages at indexes around and below 0.75, and some links
+        own = [f"w{i // 3 if i % 5 else i}x{k}" for k in range(draw.randint(6, 14))]
+        texts.append(" ".join(own[:3] + passage[: draw.randint(50, 60)] + own[3:]))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    assert 1 < len(set(group)) < len(texts)
+    largest = []
+    save = scratch.save
+
+    def spied(df, name, *args, **more):
+        out = save(df, name, *args, **more)
+        if name == "lists":
+            by = [c for c in ("token", "block") if c in out.columns]
+            largest.append(out.groupBy(*by).count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(scratch, "save", spied)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), scratch).collect()}
+    assert got == dict(enumerate(group))
+    assert largest[0] <= 40
