@@ -23,7 +23,8 @@ DROPPED = {"head", "title", "script", "style", "noscript", "template", "iframe",
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 SCOPES = {"html", "body", "main", "article", "section", "div", "td", "th", "blockquote", "table", "ul", "ol", "dl", "figure", "aside", "nav", "header", "footer", "form"}
 CONTAINERS = {"body", "main", "article", "section", "div", "td"}
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, **dict.fromkeys(("thead", "tbody", "tfoot"), {"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"})}
+IN_HEAD = {"head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "template", "noscript", "noframes"}
 ALWAYS_OUT = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "comment", "comments", "reply", "replies", "respond", "disqus", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "login", "signup", "search"}
 OFTEN_OUT = {"banner", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "related", "recommended", "footer", "header", "masthead", "toolbar", "widget", "pagination", "pager", "copyright", "disclaimer", "complementary", "contentinfo"}
 #: How much more the ratio of a container that the page names as its article counts.
@@ -83,6 +84,8 @@ def blocks(page: str) -> list[list]:
 
     def add(text: str) -> None:
         nonlocal links
+        if stack[-1].tag == "head" and not text.isspace() and text:
+            stack.pop()  # its end tag was left out
         if text and not stack[-1].out:
             text = entities.unescape(text) if "&" in text else text
             parts.append(text)
@@ -113,16 +116,19 @@ def blocks(page: str) -> list[list]:
                     del stack[k:]
                     break
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
         if tag in VOID:
             continue
         closes = CLOSES.get(tag) or ({"p"} if tag not in INLINE else None)
         if closes:
+            cut = len(stack)
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in closes:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES:
+                    cut = k
+                elif stack[k].tag in SCOPES:
                     break
+            del stack[cut:]
         number += 1
         stack.append(_Open(tag, stack[-1], _marked_out(tag, m[3], stack[-1].article), number))
         if m[3].endswith("/") and tag in INLINE:

@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from parallax.llm import jaccard, rules
+from parallax.llm import html, jaccard, rules
 from parallax.llm.common import Scratch
 
 
@@ -88,3 +88,13 @@ def test_long_lists_of_unlinked_variants_are_split(spark, scratch, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), scratch).collect()}
     assert got == dict(enumerate(group))
     assert largest[0] <= 40
+
+
+def test_end_tags_may_be_left_out():
+    text = lambda page: html.content(html.blocks(page))
+    assert text("<html><head><title>t</title><body><article><h1>Head</h1><p>One, two.</article>") == ["Head", "One, two."]
+    assert text("<head><meta charset=x><style>p {}</style><p>One, two.<p>Three.") == ["One, two.", "Three."]
+    assert text("<head><title>t</title>Bare text, here.") == ["Bare text, here."]
+    assert text("<head><script>1</script><template><p>no</p></template></head><p>One, two.") == ["One, two."]
+    paths = [b[0] for b in html.blocks("<table><thead><tr><th>a<th>b<tbody><tr><td>c<td>d<tr><td>e</table>")]
+    assert paths == ["/table/thead/tr/th"] * 2 + ["/table/tbody/tr/td"] * 3
