@@ -27,15 +27,15 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 IN_HEAD = {"head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "template", "noscript", "noframes"}
 ALWAYS_OUT = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "comment", "comments", "reply", "replies", "respond", "disqus", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "login", "signup", "search"}
 OFTEN_OUT = {"banner", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "related", "recommended", "footer", "header", "masthead", "toolbar", "widget", "pagination", "pager", "copyright", "disclaimer", "complementary", "contentinfo"}
-#: How much more the ratio of a container that the page names as its article counts.
-NAMED_ARTICLE = 1000
+#: How much more the ratio of a container that the page names as its article counts: decides between similar ones.
+NAMED_ARTICLE = 2
 ARTICLE = {"content", "article", "post", "entry", "story", "main", "body", "text"}
 
 
 class _Open:
     """An element that is open while a page is read."""
 
-    __slots__ = ("tag", "path", "out", "container", "article", "link")
+    __slots__ = ("tag", "path", "out", "container", "article", "link", "chain")
 
     def __init__(self, tag: str, above: _Open | None, out: bool, number: int):
         self.tag = tag
@@ -43,6 +43,7 @@ class _Open:
         self.out = out or (above is not None and above.out)
         self.article = tag in ("article", "main") or (above is not None and above.article)
         self.container = number if tag in CONTAINERS and not (above and above.article) else above.container if above else 0
+        self.chain = (above.chain if above else ()) + (number,)
         self.link = tag == "a" or (above is not None and above.link and tag in INLINE)
 
 
@@ -60,7 +61,7 @@ def _marked_out(tag: str, attributes: str, inside_article: bool) -> bool:
 
 
 def blocks(page: str) -> list[list]:
-    """The page's text blocks in order: [path, container, in an article, text, characters in links]."""
+    """The page's text blocks in order: [path, container, in an article, text, characters in links, numbers of its elements]."""
     root = _Open("", None, False, 0)
     stack = [root]
     out: list[list] = []
@@ -79,7 +80,7 @@ def blocks(page: str) -> list[list]:
                 while at.tag in INLINE:
                     k -= 1
                     at = stack[k]
-                out.append([at.path, at.container, at.article, text, links])
+                out.append([at.path, at.container, at.article, text, links, at.chain])
         links = 0
 
     def add(text: str) -> None:
@@ -147,13 +148,14 @@ def content(found: list[list], share: float = 0.15) -> list[str]:
     For each root-to-leaf path: characters outside links and punctuation marks to a block. The path's ratio is the
     product of the first with the logarithm of the second. A block's ratio is smoothed over its neighbours in page
     order, and fused over the container in which its path lies (all of an article is one container), so that short
-    headings and paragraphs go with the article around them. Containers of at least `share` of the best ratio are
-    content; an article element's ratio counts NAMED_ARTICLE times.
+    headings and paragraphs go with the article around them. An article element's ratio counts NAMED_ARTICLE times.
+    If an article is best, articles of at least `share` of its ratio are content. Else it is all of the subtree that
+    _subtree() gives.
     """
     if not found:
         return []
     paths: dict[tuple, list[float]] = {}
-    for path, container, _, text, links in found:
+    for path, container, _, text, links, _ in found:
         sums = paths.setdefault((path, container), [0, 0, 0])
         sums[0] += max(0, len(text) - links)
         sums[1] += len(PUNCTUATION.findall(text))
@@ -166,10 +168,46 @@ def content(found: list[list], share: float = 0.15) -> list[str]:
         near = [(w, raw[k]) for w, k in zip(kernel, (i - 1, i, i + 1)) if 0 <= k < len(raw) and found[k][1] == b[1]]
         smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
     fused: dict[int, float] = {}
+    articles = {b[1] for b in found if b[2]}
     for b, s in zip(found, smooth):
         fused[b[1]] = max(fused.get(b[1], 0.0), s * (NAMED_ARTICLE if b[2] else 1))
-    best = max(fused.values())
-    return [b[3] for b in found if fused[b[1]] >= share * best]
+    best = max(fused, key=fused.get)
+    high = {c for c, r in fused.items() if r >= share * fused[best]}
+    if best in articles:
+        return [b[3] for b in found if b[1] in high & articles]
+    kept = _subtree(found, high)
+    return [b[3] for b, k in zip(found, kept) if k]
+
+
+def _linked(part: list[list]) -> bool:
+    """Whether blocks are links for the greater part, as those of a navigation are."""
+    return 2 * sum(b[4] for b in part) > sum(len(b[3]) for b in part)
+
+
+def _subtree(found: list[list], high: set[int]) -> list[bool]:
+    """Which blocks lie below the lowest common ancestor of the high containers' blocks.
+
+    The ancestor moves up as long as what that adds isn't a navigation. An article is a text of its own: it ends the
+    way up, and so it goes below the ancestor unless its ratio is high. There, containers of links go as well.
+    """
+    chains = [b[5] for b in found if b[1] in high and not b[2]]
+    at = 0
+    while all(len(c) > at and c[at] == chains[0][at] for c in chains):
+        at += 1
+    at -= 1
+    inside = lambda k: [len(b[5]) > k and b[5][k] == chains[0][k] for b in found]
+    now = inside(at)
+    while at:
+        above = inside(at - 1)
+        added = [b for b, i, a in zip(found, now, above) if a and not i]
+        if added and (_linked(added) or any(b[2] for b in added)):
+            break
+        at, now = at - 1, above
+    groups: dict[int, list[list]] = {}
+    for b in found:
+        groups.setdefault(b[1], []).append(b)
+    out = {c for c, part in groups.items() if c not in high and (part[0][2] or _linked(part))}
+    return [b[1] in high or (i and b[1] not in out) for b, i in zip(found, now)]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -98,3 +98,16 @@ def test_end_tags_may_be_left_out():
     assert text("<head><script>1</script><template><p>no</p></template></head><p>One, two.") == ["One, two."]
     paths = [b[0] for b in html.blocks("<table><thead><tr><th>a<th>b<tbody><tr><td>c<td>d<tr><td>e</table>")]
     assert paths == ["/table/thead/tr/th"] * 2 + ["/table/tbody/tr/td"] * 3
+
+
+def test_main_text_without_or_beside_an_article():
+    text = lambda page: html.content(html.blocks(page))
+    long = "A long text, with marks; it goes on, and on, until it ends. " * 8
+    long = long.strip()
+    nav = "<div><a href=a>One place</a> <a href=b>Another place</a></div>"
+    assert text(f"<body>{nav}<div id=content><div><h2>Title</h2></div><div><p>{long}</p></div></div>") == ["Title", long]
+    assert text(f"<body>{nav}<div><div><div><h2>Title</h2></div></div><section><p>{long}</section><section><p>Short, too.</section><div>Caption</div></div>") == ["Title", long, "Short, too.", "Caption"]
+    assert text(f"<body>{nav}<div><table><tr><td>Name<td>Number<tr><td>{long}<td>7</table></div>") == ["Name", "Number", long, "7"]
+    assert text(f"<body>{nav}<div><div>Title</div><p>{long}</p></div><article><h3>Teaser</h3><p>Read this, too.</p></article>") == ["Title", long]
+    assert text(f"<body>{nav}<p>Few words, no more.</p><article><h1>Head</h1><p>{long}</p></article>") == ["Head", long]
+    assert text(f"<body>{nav}<div><div>Title</div><div><p>{long}</div>{nav}<div><p>{long}</div></div>") == ["Title", long, long]
