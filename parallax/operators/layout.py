@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def row_clusters(tokens: DataFrame, page: str = "page", tolerance: float = 8.0) -> DataFrame:
-    """(page, row, content): words within the tolerance of a row's first one, in reading order."""
+    """(page, row, content): words within the tolerance of a row's first one, in reading order.
+
+    All words of a page are one row of one task, and the time of the fold follows the square of their number: a page
+    must be bounded, as a printed one is (some thousand words).
+    """
     words = F.sort_array(F.collect_list(F.struct("vpos", "hpos", "content")))
     start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("row"), F.array().cast("array<struct<row: int, hpos: double, vpos: double, content: string>>").alias("out"))
 

@@ -19,5 +19,6 @@ def stratified(items: DataFrame, size: int, by: list[str], key: str, seed: int =
     shares = allocation(items, size, by)
     draw = F.xxhash64(F.lit(seed), F.col(key))
     rank = F.row_number().over(W.partitionBy(*by).orderBy(draw, key))
-    drawn = items.withColumn("_rank", rank).join(shares.select(*by, "share"), by)
+    # no row behind `size` others of its stratum is drawn; each task leaves those out before the window
+    drawn = items.withColumn("_rank", rank).where(F.col("_rank") <= size).join(shares.select(*by, "share"), by)
     return drawn.orderBy(F.col("_rank") > F.col("share"), draw, key).limit(size).select(key, *by)
