@@ -31,7 +31,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content) or r"(?!)", re.I)
         self.spaces_count = spaces_count
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {} if spaces_count else self.first
@@ -108,7 +108,16 @@ class PieceEncoder:
             cache.update(zip(part, self._together(part, " " if lead or not self.spaces_count else "\n", len(lead))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self._lines(texts) if self.spaces_count else self._plain(texts)
+        """As the library does by default: a text that holds an added token's string goes to it whole."""
+        whole = [k for k, t in enumerate(texts) if t and self.added.search(t)]
+        if whole:
+            apart = set(whole)
+            texts, given = ["" if k in apart else t for k, t in enumerate(texts)], texts
+        out = self._lines(texts) if self.spaces_count else self._plain(texts)
+        if whole:
+            for k, ids in zip(whole, self._library([given[k] for k in whole])):
+                out[k] = ids
+        return out
 
     def _plain(self, texts: list[str | None]) -> list[bytes]:
         """encode() where white space only parts pieces."""

@@ -111,3 +111,18 @@ def test_main_text_without_or_beside_an_article():
     assert text(f"<body>{nav}<div><div>Title</div><p>{long}</p></div><article><h3>Teaser</h3><p>Read this, too.</p></article>") == ["Title", long]
     assert text(f"<body>{nav}<p>Few words, no more.</p><article><h1>Head</h1><p>{long}</p></article>") == ["Head", long]
     assert text(f"<body>{nav}<div><div>Title</div><div><p>{long}</div>{nav}<div><p>{long}</div></div>") == ["Title", long, long]
+
+
+def test_added_tokens_are_encoded_as_the_library_does():
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from parallax.llm.queries import BYTE_BPE, WORD_BPE
+    from parallax.llm.vocab import PieceEncoder
+
+    for path, spaces_count in ((BYTE_BPE, True), (WORD_BPE, False)):
+        library = Tokenizer.from_file(path)
+        strings = [t.content for t in library.get_added_tokens_decoder().values()]
+        assert strings
+        texts = ["plain words, here", "", None, "a<|endoftext|>b", *(f"a{s}b c" for s in strings), *(f"x {s.upper()} y\n{s}" for s in strings)]
+        assert PieceEncoder(path, spaces_count).encode(texts) == [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
