@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import tempfile
 import time
@@ -30,20 +31,24 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not base:  # only where no folder is set, as in tests
-            base = tempfile.mkdtemp(prefix="spark-")
-            spark.conf.set("spark.checkpoint.dir", base)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            base = tempfile.mkdtemp(prefix="spark-")  # one machine, as in tests
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.clear)
 
-    def save(self, df: DataFrame, name: str, by: str | None = None, small: bool = False) -> DataFrame:
-        """Writes df and reads it back; shuffle files of the jobs before it can then go, which isn't awaited if small."""
+    def save(self, df: DataFrame, name: str, by: str | None = None, schema: str | None = None, small: bool = False) -> DataFrame:
+        """Writes df and reads it back; schema serves where a partitioned table may hold no file.
+
+        Shuffle files of the jobs before it can then go, which isn't awaited if small.
+        """
         path = f"{self.root}/{name}"
         writer = df.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(path)
         if not small:
             free(self.spark)
-        return self.spark.read.parquet(path)
+        return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(path)
 
     def drop(self, name: str = "") -> None:
         jvm = self.spark._jvm
@@ -62,11 +67,23 @@ _kept: dict[str, dict] = {}
 
 def worker_cache(name: str) -> dict:
     """What a Python worker keeps between the tasks of one operator; what it kept for another one goes."""
-    for other in [k for k in _kept if k != name]:
-        _kept.pop(other).clear()
+    if others := [k for k in _kept if k != name]:
+        for other in others:
+            _kept.pop(other).clear()
+        give_back()
     return _kept.setdefault(name, {})
 
 
+def give_back() -> None:
+    """Hands memory that Python, numpy and Arrow hold for later back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def free(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove shuffle files that nothing refers to any more."""
     for _ in range(2):  # what the first pass finds unused holds on to the rest until the second
@@ -76,7 +93,10 @@ def free(spark: SparkSession) -> None:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that the strings of a column hold about most_bytes; one long text stays whole."""
+    """Cuts batches so that the strings of a column hold about most_bytes; one long text stays whole.
+
+    At the end the worker, which waits for its next task, gives its free memory back.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -85,6 +105,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
         edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def table_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -137,6 +158,7 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str], most: int
                 yield table
     if rows:
         yield cut(True)
+    give_back()
 
 
 def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
@@ -176,10 +198,6 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
-
-
 def fold(id_col: str, m: int):
     """crc32 of the id as text, modulo m."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % m

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from parallax.llm.common import slices, table_of
 from parallax.llm.vocab import encoder
 
+TEXT = 16 << 20  # bytes of text that a task encodes at once
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
 
@@ -47,6 +48,21 @@ def balance(rests: list[tuple[int, int, int]], capacity: int, linear: float, qua
     return filled
 
 
+def withheld(rests: list[tuple[int, int, int]], capacity: int) -> list[tuple[int, int, int]]:
+    """Takes from rests what exceeds whole sequences, shortest pieces first, one of them in part; returns that."""
+    over = sum(length for _, _, length in rests) % capacity
+    rests.sort(key=lambda r: (-r[2], r[0], r[1]))
+    left = []
+    while over:
+        doc, start, length = rests.pop()
+        take = min(over, length)
+        left.append((doc, start + length - take, take))
+        if take < length:
+            rests.append((doc, start, length - take))
+        over -= take
+    return left
+
+
 def pack(
     docs: DataFrame,
     vocabulary: str,
@@ -60,57 +76,58 @@ def pack(
 ) -> DataFrame:
     """Packs every document's ids, with end_id appended, into sequences of at most capacity tokens.
 
-    Each scan task packs its own documents in groups of about group_tokens, so there is no shuffle and memory is
-    bounded by one group and one document. Whole stretches of capacity tokens fill a sequence each; the rests are
-    assigned by balance(). Returns a row for each piece. A null or empty text is one piece that holds end_id alone; a
-    null id stays null; repeated ids are packed as separate documents; an empty table gives no rows; other columns
+    Each scan task packs its own documents, so there is no shuffle. Whole stretches of capacity tokens fill a sequence
+    each; the rests are assigned by balance() in groups of about group_tokens. What doesn't fill a sequence goes on to
+    the next group; only a task's last one ends in powers of two. Memory is bounded by one group, TEXT bytes and one
+    document. Returns a row for each piece. A null or empty text is one piece that holds end_id alone; a very long one is
+    cut into many sequences; a null id stays null; repeated ids are packed as separate documents; an empty table gives no rows; other columns
     are not read. A task that runs again deals the same rows in the same way.
     """
-    end = np.array([end_id], "<u4").tobytes()
-
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 40
-        held: list[tuple[int | None, bytes]] = []
-        tokens = 0
-
-        def flush():
-            nonlocal sequence
-            cols: list[list] = [[] for _ in ARROW]
-
-            def piece(d: int, start: int, length: int, offset: int) -> None:
-                doc, ids = held[d]
-                crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                for c, v in zip(cols, (doc, start, length, crc, len(ids) // 4, sequence, offset)):
-                    c.append(v)
+        rests: list[tuple[int, int, int]] = []  # pieces that wait: place in held, start and length in the document
+        held: list[tuple[int | None, int, int, np.ndarray]] = []  # document, its ids, start of what is held, that
 
-            rests = []
-            for d, (_, ids) in enumerate(held):
-                n = len(ids) // 4
-                for start in range(0, n - capacity + 1, capacity):
-                    piece(d, start, capacity, 0)
-                    sequence += 1
-                if n % capacity:
-                    rests.append((d, n - n % capacity, n % capacity))
+        def flush(rows: list, final: bool) -> None:
+            """Assigns the pieces that wait; those that don't fill a whole sequence wait on, unless no more come."""
+            nonlocal sequence, rests, held
+            left = [] if final else withheld(rests, capacity)
             for pieces in balance(rests, capacity, linear, quadratic):
                 offset = 0
                 for d, start, length in pieces:
-                    piece(d, start, length, offset)
+                    doc, total, origin, ids = held[d]
+                    rows.append((doc, start, length, zlib.crc32(ids[start - origin : start - origin + length]), total, sequence, offset))
                     offset += length
                 sequence += 1
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=ARROW)
-
-        for batch in slices(batches, "text", 2 << 20):
-            ids = encoder(vocabulary, True).encode(batch.column("text").to_pylist())
-            for doc, one in zip(batch.column("id").to_pylist(), ids):
-                held.append((doc, one + end))
-                tokens += len(one) // 4 + 1
-                if tokens >= group_tokens:
-                    yield flush()
-                    held, tokens = [], 0
-        if held:
-            yield flush()
+            rests = [(k, start, length) for k, (_, start, length) in enumerate(left)]
+            held = [held[d] for d, _, _ in left]
+
+        tokens = 0
+        for batch in slices(batches, "text", TEXT):
+            flat, edges = encoder(vocabulary, True).encode(batch.column("text"), end_id)
+            flat, edges = flat.astype("<u4", copy=False), edges.tolist()
+            rows: list[tuple] = []
+            for doc, lo, hi in zip(batch.column("id").to_pylist(), edges, edges[1:]):
+                n = hi - lo
+                for start in range(0, n - capacity + 1, capacity):
+                    rows.append((doc, start, capacity, zlib.crc32(flat[lo + start : lo + start + capacity]), n, sequence, 0))
+                    sequence += 1
+                rest = n % capacity
+                if rest:
+                    rests.append((len(held), n - rest, rest))
+                    held.append((doc, n, n - rest, flat[hi - rest : hi].copy()))
+                    tokens += rest
+                    if tokens >= group_tokens:
+                        flush(rows, False)
+                        tokens = sum(length for _, _, length in rests)
+            if rows:
+                yield table_of(ARROW, **dict(zip(ARROW.names, zip(*rows))))
+        rows = []
+        flush(rows, True)
+        if rows:
+            yield table_of(ARROW, **dict(zip(ARROW.names, zip(*rows))))
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tasks, SCHEMA)

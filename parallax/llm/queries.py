@@ -28,8 +28,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks, recipes, _ = store.write(documents(spark, sf_dir), WORD_BPE, Scratch(spark, "op2"))
-    return store.digests(chunks, recipes)
+    return store.digests(*store.write(documents(spark, sf_dir), WORD_BPE, Scratch(spark, "op2")))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

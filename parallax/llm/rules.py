@@ -101,7 +101,7 @@ def fences(measured: DataFrame, scratch: Scratch, spread: float = 6.0, accuracy:
     of = lambda m: F.when(F.col(m) > 0, F.col(m)) if m in WHERE_ANY else F.col(m)
     quartiles = [F.percentile_approx(of(m), [0.25, 0.75], accuracy).alias(m) for m in METRICS]
     sketched = sound.cube("lang", "source").agg(F.grouping_id().alias("level"), *quartiles, *(F.count(of(m)).alias(f"n_{m}") for m in METRICS))
-    sketched = scratch.save(sketched, "quartiles", small=True)
+    sketched = scratch.save(sketched, "quartiles")
     level = lambda k: sketched.where(F.col("level") == k).select(F.col("lang").alias(f"lang_{k}"), F.col("source").alias(f"source_{k}"), *(F.col(c).alias(f"{c}_{k}") for m in METRICS for c in (m, f"n_{m}")))
     own, lang, source, whole = (level(k) for k in range(4))  # grouping_id: 1 leaves the source out, 2 the language
     own = own.join(lang, own["lang_0"].eqNullSafe(lang["lang_1"]), "left").join(source, own["source_0"].eqNullSafe(source["source_2"]), "left").crossJoin(whole)

@@ -17,9 +17,11 @@ from parallax.llm.vocab import encoder
 
 LEAST, MASK, MOST = 64, 255, 2048  # of a chunk's ids; a cut wherever the rolling hash's low 8 bits are 0
 WINDOW = 16
+TEXT = 16 << 20  # bytes of text that a task encodes at once
 SEEN = 200_000  # digests that a task remembers, so as not to send a chunk twice
 
 STAGED = "kind string, digest binary, doc_id long, n_tokens long, data binary, lengths binary"
+MANIFEST = "part int, n_docs long, n_tokens long, root binary"
 STAGED_ARROW = pa.schema([("kind", pa.string()), ("digest", pa.binary()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary()), ("lengths", pa.binary())])
 
 _gear = np.random.default_rng(20260801).integers(1, 2**63, 65_536, dtype=np.uint64)
@@ -57,26 +59,97 @@ def merkle(digests: bytes, width: int = 32) -> bytes:
     return hashlib.sha256(b"\2" + (level[0] if level else b"")).digest()
 
 
+class Tree:
+    """The root of merkle() over digests that come one by one; holds one node for each level."""
+
+    def __init__(self):
+        self.levels: list[bytes | None] = []
+
+    def add(self, digest: bytes) -> None:
+        for k, left in enumerate(self.levels):
+            if left is None:
+                self.levels[k] = digest
+                return
+            self.levels[k] = None
+            digest = hashlib.sha256(b"\1" + left + digest).digest()
+        self.levels.append(digest)
+
+    def root(self) -> bytes:
+        right = None
+        for left in self.levels:
+            if left is not None:
+                right = left if right is None else hashlib.sha256(b"\1" + left + right).digest()
+        return hashlib.sha256(b"\2" + (right or b"")).digest()
+
+
+def part_roots(recipes: DataFrame) -> DataFrame:
+    """part, n_docs, n_tokens, root: the Merkle root over the roots of each part's documents in order."""
+
+    def roots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tree, docs, tokens = None, Tree(), 0, 0
+        for batch in batches:
+            for part, n, root in zip(*(batch.column(c).to_pylist() for c in ("part", "n_tokens", "root"))):
+                if part != now and now is not None:
+                    yield table_of(_manifest, part=[now], n_docs=[docs], n_tokens=[tokens], root=[tree.root()])
+                    tree, docs, tokens = Tree(), 0, 0
+                now = part
+                tree.add(root)
+                docs, tokens = docs + 1, tokens + n
+        if now is not None:
+            yield table_of(_manifest, part=[now], n_docs=[docs], n_tokens=[tokens], root=[tree.root()])
+
+    ordered = recipes.select("part", "start", "n_tokens", "root").repartition(partitions(recipes.sparkSession), "part").sortWithinPartitions("part", "start", "root")
+    return ordered.mapInArrow(roots, "part int, n_docs long, n_tokens long, root binary")
+
+
+_manifest = pa.schema([("part", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("root", pa.binary())])
+
+
+def whole_root(manifest: DataFrame) -> bytes:
+    """The store's one root, over the parts' roots; a part is a partition of a shuffle, so there are few."""
+    tree = Tree()
+    for r in manifest.where("part is not null").select("part", "root").orderBy("part").toLocalIterator():
+        tree.add(bytes(r["root"]))
+    return tree.root()
+
+
+def verify(recipes: DataFrame, manifest: DataFrame) -> None:
+    """Holds recipes as read against the manifest, and the manifest against its own root; raises if they differ."""
+    own = part_roots(recipes)
+    listed = manifest.where("part is not null")
+    both = own.select("part", F.col("root").alias("found"), F.col("n_docs").alias("docs"), F.col("n_tokens").alias("tokens")).join(listed, "part", "full")
+    wrong = both.where(~(F.col("found").eqNullSafe(F.col("root")) & F.col("docs").eqNullSafe(F.col("n_docs")) & F.col("tokens").eqNullSafe(F.col("n_tokens")))).select("part").first()
+    if wrong is not None:
+        raise ValueError(f"part {wrong['part']} of the store isn't what its manifest says")
+    top = manifest.where("part is null").first()
+    if top is None or bytes(top["root"]) != whole_root(manifest):
+        raise ValueError("the manifest's root isn't that of its parts")
+
+
 def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Encodes documents and stores their ids; returns the tables (chunks, recipes, manifest), read back from files.
 
     chunks: a row for each distinct chunk (digest: sha256 of its ids as little-endian unsigned 16-bit integers, data).
     recipes: a row for each document in ascending id order (nulls first, ties by root): part, start, n_tokens,
-    digests and lengths of its chunks, and their Merkle root. manifest: a row for each part with its own root over the
-    documents' roots. A null text counts as empty, and holds end_id alone. Ids must be under 65,536.
+    digests and lengths of its chunks, and their Merkle root. manifest: a row for each part with the Merkle root over its
+    documents' roots, and one with a null part, the root over the parts'. A null text counts as empty, and holds end_id
+    alone; a very long one is encoded whole and cut as any other; equal rows keep a recipe each; an empty table gives
+    empty tables and a manifest of one row; other columns are not read. Ids over 65,535 raise an error.
 
     A task sends a chunk once, so a chunk that a third of the documents share arrives at most once from each task.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    end = np.array([end_id], "<u4").tobytes()
-
     def stage(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT):
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column("id").to_pylist(), encoder(vocabulary, False).encode(batch.column("text").to_pylist())):
-                ids = np.frombuffer(ids + end, "<u4")
+            flat, edges = encoder(vocabulary, False).encode(batch.column("text"), end_id)
+            if len(flat) and flat.max() > 0xFFFF:
+                raise ValueError("ids over 65,535 don't fit the store's 16 bits")
+            edges = edges.tolist()
+            for doc, lo, hi in zip(batch.column("id").to_pylist(), edges, edges[1:]):
+                ids = flat[lo:hi]
                 small = ids.astype("<u2").tobytes()
                 digests, lengths, start = [], [], 0
                 for stop in cuts(ids):
@@ -91,8 +164,12 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
                         seen.add(digest)
                         rows.append(("chunk", digest, None, None, data, None))
                 joined = b"".join(digests)
-                rows.append(("recipe", merkle(joined), doc, len(ids), joined, np.array(lengths, "<u4").tobytes()))
-            yield table_of(STAGED_ARROW, **dict(zip(STAGED_ARROW.names, zip(*rows))))
+                rows.append(("recipe", merkle(joined), doc, hi - lo, joined, np.array(lengths, "<u4").tobytes()))
+                if len(rows) > 20_000:
+                    yield table_of(STAGED_ARROW, **dict(zip(STAGED_ARROW.names, zip(*rows))))
+                    rows = []
+            if rows:
+                yield table_of(STAGED_ARROW, **dict(zip(STAGED_ARROW.names, zip(*rows))))
 
     def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -106,7 +183,7 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(stage, STAGED)
     deal = F.when(F.col("kind") == "chunk", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "digest"))
     staged = rows.repartition(n, deal).sortWithinPartitions("kind", "digest").mapInArrow(once, STAGED)
-    staged = scratch.save(staged, "staged", by="kind")
+    staged = scratch.save(staged, "staged", by="kind", schema=STAGED)
     chunks = staged.where("kind = 'chunk'").select("digest", "data")
     recipes = (
         staged.where("kind = 'recipe'")
@@ -123,9 +200,10 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
     recipes = recipes.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(before), "part").select("part", "doc_id", (F.col("earlier") + F.col("inside")).alias("start"), "n_tokens", "digests", "lengths", "root")
     recipes = scratch.save(recipes, "placed")
     scratch.drop("recipes")
-    roots = F.transform(F.sort_array(F.collect_list(F.struct("start", "root"))), lambda x: F.hex(x["root"]))
-    manifest = recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sha2(F.array_join(roots, ""), 256).alias("root"))
-    manifest = scratch.save(manifest, "manifest")
+    parts = scratch.save(part_roots(recipes), "parts", schema=MANIFEST)
+    top = spark.createDataFrame([(None, None, None, whole_root(parts))], MANIFEST)
+    manifest = parts.union(top)
+    manifest = scratch.save(manifest, "manifest", schema=MANIFEST)
     return chunks, recipes, manifest
 
 
@@ -154,14 +232,17 @@ def shifted(crc: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     return _times(power, crc.astype(np.uint32))
 
 
-def digests(chunks: DataFrame, recipes: DataFrame) -> DataFrame:
+def digests(chunks: DataFrame, recipes: DataFrame, manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32 of all its ids as 32-bit integers.
 
-    Every chunk read is held against its sha256, every recipe against its Merkle root. A chunk's crc32 is taken once,
+    Every chunk read is held against its sha256, every recipe against its Merkle root, and all of these against the
+    manifest. A chunk's crc32 is taken once,
     where the chunk lies; only crc32s and lengths are shuffled, and a document's crc32 is the exclusive or of its
     chunks' shifted ones.
     """
 
+    verify(recipes, manifest)
+
     def of_chunks(batches):
         for batch in batches:
             crc, size = [], []
@@ -208,6 +289,23 @@ def ids(chunks: DataFrame, recipes: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "start", "step", "digest"])
 
+    def whole(batches):
+        now, doc, parts = None, None, []
+
+        def one():
+            return pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([now], pa.int64()), pa.array([b"".join(parts)], pa.binary())], names=["doc_id", "start", "ids"])
+
+        for batch in batches:
+            for d, s, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "data"))):
+                if s != now:
+                    if now is not None:
+                        yield one()
+                    now, doc, parts = s, d, []
+                parts.append(data)
+        if now is not None:
+            yield one()
+
+    # a document's start is its own: each holds its end id at the least
     parts = recipes.mapInArrow(steps, "doc_id long, start long, step long, digest binary").join(chunks, "digest")
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("step", F.hex("data").alias("data")))), lambda x: x["data"])
-    return parts.groupBy("doc_id", "start").agg(F.unhex(F.array_join(ordered, "")).alias("ids"))
+    ordered = parts.repartition(partitions(recipes.sparkSession), "start").sortWithinPartitions("start", "step")
+    return ordered.mapInArrow(whole, "doc_id long, start long, ids binary")
