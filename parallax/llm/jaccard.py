@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,12 @@ LONG = 16  # documents from which a shingle's list counts as long
 MOST_LONG = 1 << 20  # of the longest lists are told to the tasks; the order of shingles may be any, so this drops nothing
 NAMED = 16  # low bits of a shingle's hash that are left off where the length of its list is told
 REMEMBERED = 100_000  # classes or pairs that a task remembers, so as not to send them twice
-BLOCK = 256  # partners of one query to a group
+BLOCK = 256  # partners of one query to an index
 LIST = 8192  # sets of a list that one task holds; a longer list is dealt in blocks of about half of it and more
-PIECE = 1 << 20  # pairs of sets that a task holds before it sends them
-NEAR = 4  # places in a list up to which sets are compared before all pairs are
+PIECE = 1 << 20  # pairs of sets that a task looks at before it folds what they give
+INDEX = 1 << 20  # shingles of the sets that one task indexes
+QUERIES = 4096  # searches in one index by one task
+ORDERS = 3  # in which each list's sets are compared with the next one, before the search
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -98,39 +100,47 @@ def needed(a, b):
     return -(-3 * (a + b) // 7)
 
 
-def t_occurrence(query: np.ndarray, partners: list[np.ndarray], least: np.ndarray) -> np.ndarray:
-    """Which partners hold at least `least` (one number for each) of the query's shingles.
-
-    DivideSkip: the lists of the query's shingles over the partners are divided by length. The short ones are merged by
-    a heap; a partner met in too few of them to reach its number with all the long ones is out. For the rest, the
-    long lists are probed by binary search.
-    """
-    owner, place = [], []
-    for i, p in enumerate(partners):
-        at = np.searchsorted(query, p)
-        at = at[(at < len(query)) & (query[np.minimum(at, len(query) - 1)] == p)]
-        owner.append(np.full(len(at), i))
-        place.append(at)
-    owner, place = np.concatenate(owner), np.concatenate(place)
-    order = np.lexsort((owner, place))
-    owner, place = owner[order], place[order]
-    names, starts, lengths = np.unique(place, return_index=True, return_counts=True)
-    if not len(names):
-        return np.zeros(len(partners), bool)
-    t = max(1, int(least.min()))
-    n_long = min(len(names), int(t / (0.0085 * math.log2(max(2, lengths.max())) + 1)), t - 1)
-    by_length = np.argsort(lengths, kind="stable")
-    short, long = by_length[: len(names) - n_long], by_length[len(names) - n_long :]
-    met = np.zeros(len(partners), np.int64)
-    for i in heapq.merge(*(owner[starts[k] : starts[k] + lengths[k]].tolist() for k in short)):
-        met[i] += 1
-    lists = [owner[starts[k] : starts[k] + lengths[k]] for k in long]
-    candidates = np.flatnonzero(met + n_long >= least)
-    for one in lists:
-        if len(candidates):
+class Inverted:
+    """Inverted lists over given sets: the sets that hold each shingle, in ascending order."""
+
+    def __init__(self, sets_: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets_], np.int64)
+        flat = np.concatenate(sets_)
+        owner = np.repeat(np.arange(len(sets_), dtype=np.int32), self.sizes)
+        order = np.lexsort((owner, flat))
+        self.owner = owner[order]
+        self.names, self.starts = np.unique(flat[order], return_index=True)
+        self.starts = np.append(self.starts, len(flat))
+
+    def search(self, query: np.ndarray) -> np.ndarray:
+        """The sets whose Jaccard index with the query is 0.75 or more, by T-occurrence.
+
+        DivideSkip: the lists of the query's shingles are divided by length. The short ones are merged by a heap; a set
+        met in too few of them to reach its number with all the long ones is out. For the rest, the long lists are
+        probed by binary search.
+        """
+        m = len(query)
+        least = needed(m, self.sizes)
+        fits = (4 * self.sizes >= 3 * m) & (3 * self.sizes <= 4 * m)
+        at = np.searchsorted(self.names, query)
+        at = at[(at < len(self.names)) & (self.names[np.minimum(at, len(self.names) - 1)] == query)]
+        lengths = self.starts[at + 1] - self.starts[at]
+        if not fits.any() or len(at) < (t := max(1, int(least[fits].min()))):
+            return np.zeros(0, np.int64)
+        n_long = min(len(at), int(t / (0.0085 * math.log2(max(2, lengths.max())) + 1)), t - 1)
+        by_length = at[np.argsort(lengths, kind="stable")]
+        lists = [self.owner[self.starts[k] : self.starts[k + 1]] for k in by_length]
+        short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
+        met = np.zeros(len(self.sizes), np.int64)
+        for i in heapq.merge(*(x.tolist() for x in short)):
+            met[i] += 1
+        candidates = np.flatnonzero(fits & (met > 0) & (met + n_long >= least))
+        for one in long:
+            if not len(candidates):
+                break
             at = np.searchsorted(one, candidates)
             met[candidates] += one[np.minimum(at, len(one) - 1)] == candidates
-    return met >= least
+        return candidates[met[candidates] >= least[candidates]]
 
 
 def _first_of_task(keys: np.ndarray, counts: np.ndarray, seen: set) -> list[int]:
@@ -148,14 +158,16 @@ def _first_of_task(keys: np.ndarray, counts: np.ndarray, seen: set) -> list[int]
 def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): the components of set keys that link by a Jaccard index of 0.75 or more.
 
-    rows: doc_id, text. members: doc_id, key, n_shingles. A pair that links shares a shingle among the first of each
-    set in an order common to all, 1/4 of the larger and 1/7 of the smaller set. The order puts shingles with long
-    lists last. Each set's first shingles are dealt by shingle; pairs that meet in a list and can reach the needed
-    number by their sizes and places are verified by T-occurrence search over the whole sets. That is done three times:
-    first each set of a list with the list's smallest; then a few neighbours in each list, its order being its own; at
-    last all pairs that are not yet in one component. So the pairs within a large group of near copies are not listed,
-    and no link between components is lost. A list of over LIST sets is dealt in blocks, by the set's key (by key and
-    shingle for the neighbours); for all pairs each two blocks meet in a group of their own.
+    rows: doc_id, text. members: doc_id, key, n_shingles, text_hash. A pair that links shares a shingle among the first
+    of each set in an order common to all, 1/4 of the larger and 1/7 of the smaller set. The order puts shingles with
+    long lists last. Each set's first shingles are dealt by shingle, which gives the inverted lists; sets without a
+    possible partner in any list are left out, and the others' whole sets are written once.
+
+    First each list's sets are put in an order common to all lists and compared with the next one, so that most of a
+    group of near copies meets in few pairs; what links becomes a component. The next order leaves out what is of one
+    component already. At last _search() looks up what is left: sets of different components that can reach the needed
+    number by their sizes and places in a list. Pairs aren't sent for that, but each set once to each index in which
+    it has such a partner, so a large group is searched without listing its pairs, and no link is lost.
     """
     spark = rows.sparkSession
     n = partitions(spark)
@@ -190,128 +202,185 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
                 yield table_of(_posting, token=np.concatenate(token).view(np.int64), key=np.concatenate(key), size=np.concatenate(size), pos=np.concatenate(pos), block=np.concatenate(block))
 
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The postings of shingles that two or more different sets hold; all of those that are dealt in blocks."""
+        """The postings of sets that may link with another one of the list; all of those that are dealt in blocks."""
         for t in sorted_groups(batches, ["token", "block"]):
-            token, key, block = (t.column(c).to_numpy() for c in ("token", "key", "block"))
+            token, key, block, size, pos = (t.column(c).to_numpy() for c in ("token", "key", "block", "size", "pos"))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1]) | (key[1:] != key[:-1])
-            token, block = token[new], block[new]
-            same = token[1:] == token[:-1]
-            two = block > 0
-            two[1:] |= same
-            two[:-1] |= same
-            yield from t.take(pa.array(np.flatnonzero(new)[two])).to_batches()
+            at = np.flatnonzero(new)
+            starts = np.append(runs([token[at], block[at]]), len(at))
+            keep = block[at] > 0
+            for lo, hi in zip(starts, starts[1:]):
+                if hi - lo > 1 and not keep[lo]:
+                    one = at[lo:hi]
+                    if hi - lo > 64:  # some set of a fitting size is near in the order of sizes
+                        near = 4 * size[one][:-1] >= 3 * size[one][1:]
+                        keep[lo : hi - 1] |= near
+                        keep[lo + 1 : hi] |= near
+                    else:
+                        i, j = np.triu_indices(hi - lo, 1)
+                        ok = _can(size[one[i]], pos[one[i]], size[one[j]], pos[one[j]])
+                        keep[lo + i[ok]] = True
+                        keep[lo + j[ok]] = True
+            yield from t.take(pa.array(at[keep])).to_batches()
 
     dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token", "block").sortWithinPartitions("token", "block", "size", "key")
     lists = scratch.save(dealt.mapInArrow(shared, POSTING), "lists")
+    held_sets = scratch.save(_sets(rows, members, lists), "sets")
+    found = spark.createDataFrame([], "node long, component long")
+    tested = spark.createDataFrame([], "a long, b long")
+    for k in range(ORDERS):
+        pairs = scratch.save(_next_ones(lists, found, k).join(tested, ["a", "b"], "left_anti"), f"pairs-{k}", small=True)
+        links = scratch.save(_verified(held_sets, pairs), f"links-{k}", small=True)
+        found = scratch.save(_composed(found, components(_between(links, found), scratch)), f"found-{k}")
+        tested = tested.union(pairs)
+    late = scratch.save(_search(lists, held_sets, found, scratch), "late")
+    return _composed(found, components(_between(late, found), scratch))
 
-    def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[tuple[int, int], int] = {}
-        hub = None
 
-        def flush():
-            if met:
-                yield table_of(_met, a=[p[0] for p in met], b=[p[1] for p in met], n=list(met.values()))
-                met.clear()
+def _placed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The postings with their sets' components; a set in none is its own."""
+    return lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
 
+
+def _next_ones(lists: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Distinct pairs (a, b) of sets that stand next to each other in a list, in the k-th of the common orders.
+
+    The first is by size. A list in blocks is dealt anew each time into as many parts. Rows pass a task in order, and
+    none is held but the last.
+    """
+
+    def neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        seen: set = set()
         for batch in batches:
-            for token, block, key, size, pos in zip(*(batch.column(c).to_pylist() for c in ("token", "block", "key", "size", "pos"))):
-                if hub is None or hub[0] != (token, block) or not _can_one(hub[2], hub[3], size, pos):
-                    hub = ((token, block), key, size, pos)
-                elif key != hub[1]:
-                    met[hub[1], key] = met.get((hub[1], key), 0) + 1
-            if len(met) > REMEMBERED:
-                yield from flush()
-        yield from flush()
-
-    first = lists.mapInArrow(stars, "a long, b long, n long").select("a", "b").distinct()
-    first = scratch.save(first, "first")
-    first_links = scratch.save(_verified(rows, members, first, scratch, "1"), "links-1")
-    found = scratch.save(_grouped(first_links, scratch), "found")
-
-    def across(choose: Callable) -> Callable:
-        """Pairs of sets in different components; choose gives them as places from the start of a group."""
-
-        def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set = set()
-            a, b = [], []
-
-            def send():
-                pairs = np.concatenate(a), np.concatenate(b)
-                pairs = np.unique(np.stack([np.minimum(*pairs), np.maximum(*pairs)], 1), axis=0)
-                a.clear()
-                b.clear()
-                fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if last is None else [last, batch])
+            last = batch.slice(batch.num_rows - 1)
+            token, part, key, size, pos, component = (table.column(c).to_numpy() for c in ("token", "part", "key", "size", "pos", "component"))
+            ok = (token[1:] == token[:-1]) & (part[1:] == part[:-1]) & (component[1:] != component[:-1])
+            i = np.flatnonzero(ok)
+            i = i[_can(size[i], pos[i], size[i + 1], pos[i + 1])]
+            pairs = set(zip(np.minimum(key[i], key[i + 1]).tolist(), np.maximum(key[i], key[i + 1]).tolist())) - seen
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            seen |= pairs
+            if pairs:
+                a, b = zip(*pairs)
+                yield table_of(_pair, a=a, b=b)
+
+    part = F.when(F.col("block") > 0, F.pmod(F.xxhash64("token", "key", F.lit(k)), F.shiftright("block", 16)).cast("int")).otherwise(0)
+    place = F.col("size").cast("long") if k == 0 else F.xxhash64("key", F.lit(k))
+    dealt = _placed(lists, found).select("token", part.alias("part"), place.alias("place"), "key", "size", "pos", "component")
+    dealt = dealt.repartition(partitions(lists.sparkSession), "token", "part").sortWithinPartitions("token", "part", "place", "key")
+    return dealt.mapInArrow(neighbours, "a long, b long").distinct()
+
+
+def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): the links between sets of different components that share a list.
+
+    The sets are dealt into indexes of about INDEX shingles, a component to one as long as it fits; of two components
+    the one with fewer sets asks. A list says which sets ask which indexes, and which sets these need to hold.
+    """
+    spark = lists.sparkSession
+    n = partitions(spark)
+    sets_ = held_sets.select("key", "size").join(found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    of = sets_.groupBy("component").agg(F.count("*").alias("members"), F.sum("size").alias("shingles"))
+    few = 1 + int(of.where(f"shingles <= {INDEX}").agg(F.coalesce(F.sum("shingles"), F.lit(0))).first()[0]) // INDEX
+    parts = F.ceil(F.col("shingles") / INDEX)
+    index = F.when(F.col("shingles") <= INDEX, F.pmod(F.xxhash64("component"), F.lit(few))).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("key"), parts)))
+    placed = scratch.save(sets_.join(of, "component").select("key", "component", "members", index.alias("home")), "homes", small=True)
+
+    def asks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for t in sorted_groups(batches, ["token", "low", "high"]):
+            token, low, high, block, key, size, pos, component, members, home = (t.column(c).to_numpy() for c in ("token", "low", "high", "block", "key", "size", "pos", "component", "members", "home"))
+            starts = np.append(runs([token, low, high]), len(token))
+            changed = np.append(0, np.cumsum(component[1:] != component[:-1]))
+            rows: list[np.ndarray] = []
+
+            def fold():
+                both = np.unique(np.concatenate(rows), axis=0)
+                rows.clear()
+                fresh = [r for r in map(tuple, both.tolist()) if r not in seen]
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                seen.update(fresh[:REMEMBERED])
+                seen.update(fresh)
                 if fresh:
-                    yield table_of(_pair, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
-
-            for t in sorted_groups(batches, ["token", "low", "high"]):
-                token, low, high, block, key, size, pos, component = (t.column(c).to_numpy() for c in ("token", "low", "high", "block", "key", "size", "pos", "component"))
-                starts = np.append(runs([token, low, high]), len(token))
-                changed = np.append(0, np.cumsum(component[1:] != component[:-1]))
-                waiting = 0
-                for lo, hi in zip(starts, starts[1:]):
-                    if changed[hi - 1] == changed[lo]:
-                        continue
-                    apart = low[lo] != high[lo]  # then pairs within a block are another group's
-                    for i, j in choose(int(token[lo]), key[lo:hi], size[lo:hi], pos[lo:hi]):
-                        i, j = i + lo, j + lo
-                        other = component[i] != component[j]
-                        if apart:
-                            other &= block[i] != block[j]
-                        i, j = i[other], j[other]
-                        if len(j):
-                            ok = _can(size[i], pos[i], size[j], pos[j])
-                            a.append(key[i[ok]])
-                            b.append(key[j[ok]])
-                            waiting += len(a[-1])
-                            if waiting > PIECE:
-                                yield from send()
-                                waiting = 0
-                if a:
-                    yield from send()
-
-        return pairs_of
-
-    def untested(choose: Callable, found: DataFrame, tested: DataFrame, whole: bool) -> DataFrame:
-        """whole: all blocks of a list meet; else its sets are dealt anew into as many blocks, which don't."""
-        placed = lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").select("token", "key", "size", "pos", "block", F.coalesce("component", "key").alias("component"))
-        count, own = F.shiftright("block", 16), F.col("block").bitwiseAND(65535)
-        if whole:
-            # a list in blocks is of use only if it holds two components, and a set that may be a pair's smaller one
-            of_use = placed.where("block > 0").groupBy("token").agg((F.min("component") < F.max("component")).alias("two"), F.min(F.expr("pos + int(ceil(6 * size / 7.0)) - size")).alias("first")).where("two and first < 1").select("token")
-            split = placed.where("block > 0").join(of_use, "token", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-            split = split.withColumns({"low": F.least(own, "other"), "high": F.greatest(own, "other")}).drop("other")
-            dealt = placed.where("block = 0").withColumns({"low": F.lit(0), "high": F.lit(0)}).unionByName(split)
-        else:
-            anew = F.when(F.col("block") > 0, F.pmod(F.xxhash64("token", "key"), count).cast("int")).otherwise(0)
-            dealt = placed.withColumns({"low": anew, "high": anew})
-        met = dealt.repartition(n, "token", "low", "high").sortWithinPartitions("token", "low", "high", "size", "key").mapInArrow(across(choose), "a long, b long").distinct()
-        return met.join(tested, ["a", "b"], "left_anti")
-
-    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = scratch.save(untested(_neighbours, found, tested, False), "near")
-    near_links = scratch.save(_verified(rows, members, near, scratch, "2"), "links-2")
-    found = scratch.save(_composed(found, components(_between(near_links, found), scratch)), "found-2")
-    rest = scratch.save(untested(_all_pairs, found, tested.union(near), True), "rest")
+                    index, asks_, name = zip(*fresh)
+                    yield table_of(_asked, home=index, asks=asks_, key=name)
+
+            waiting = 0
+            for lo, hi in zip(starts, starts[1:]):
+                if changed[hi - 1] == changed[lo]:
+                    continue
+                apart = low[lo] != high[lo]  # then pairs within a block are another group's
+                for i, j in _pairs_of(size[lo:hi], pos[lo:hi]):
+                    i, j = i + lo, j + lo
+                    other = component[i] != component[j]
+                    if apart:
+                        other &= block[i] != block[j]
+                    i, j = i[other], j[other]
+                    ok = _can(size[i], pos[i], size[j], pos[j])
+                    i, j = i[ok], j[ok]
+                    if len(i):
+                        turn = (members[i] > members[j]) | ((members[i] == members[j]) & (component[i] > component[j]))
+                        i, j = np.where(turn, j, i), np.where(turn, i, j)  # i asks where j is
+                        ask = np.unique(np.stack([home[j], np.ones(len(i), np.int64), key[i]], 1), axis=0)
+                        told = np.unique(np.stack([home[j], np.zeros(len(i), np.int64), key[j]], 1), axis=0)
+                        rows += [ask, told]
+                        waiting += len(ask) + len(told)
+                        if waiting > PIECE:
+                            yield from fold()
+                            waiting = 0
+            if rows:
+                yield from fold()
+
+    postings = lists.join(placed, "key").select("token", "key", "size", "pos", "block", "component", "members", "home")
+    count, own = F.shiftright("block", 16), F.col("block").bitwiseAND(65535)
+    # a list in blocks is of use only if it holds two components, and a set that may be a pair's smaller one
+    of_use = postings.where("block > 0").groupBy("token").agg((F.min("component") < F.max("component")).alias("two"), F.min(F.expr("pos + int(ceil(6 * size / 7.0)) - size")).alias("first")).where("two and first < 1").select("token")
+    split = postings.where("block > 0").join(of_use, "token", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    split = split.withColumns({"low": F.least(own, "other"), "high": F.greatest(own, "other")}).drop("other")
+    dealt = postings.where("block = 0").withColumns({"low": F.lit(0), "high": F.lit(0)}).unionByName(split)
+    dealt = dealt.repartition(n, "token", "low", "high").sortWithinPartitions("token", "low", "high", "size", "key")
+    asked = scratch.save(dealt.mapInArrow(asks, "home long, asks long, key long").distinct(), "asked")
     scratch.drop("lists")
-    late = scratch.save(_verified(rows, members, rest, scratch, "3"), "links-3")
-    return _composed(found, components(_between(late, found), scratch))
 
-
-def _neighbours(token: int, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the sets of a list that stand within NEAR of each other, in an order that differs from list to list."""
-    order = np.argsort(mix(mix(key.view(np.uint64)) ^ np.uint64(token & (1 << 64) - 1)), kind="stable")
-    for d in range(1, min(NEAR, len(key) - 1) + 1):
-        yield order[:-d], order[d:]
-
-
-def _all_pairs(token: int, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    # many searches in one index go to several tasks, each of which builds it
+    busy = asked.where("asks = 1").groupBy("home").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("tasks"))
+    told = asked.join(busy, "home").withColumn("task", F.when(F.col("asks") == 1, F.array(F.pmod(F.xxhash64("key"), F.col("tasks")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    told = told.select("home", F.explode("task").alias("task"), "asks", "key").join(held_sets.select("key", "tokens"), "key")
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, names, held, index = None, [], [], None
+        for batch in slices(batches, "tokens", 4 << 20):
+            a: list[int] = []
+            b: list[int] = []
+            for home, task, asks_, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("home", "task", "asks", "key", "tokens"))):
+                if at != (home, task):
+                    at, names, held, index = (home, task), [], [], None
+                if asks_ == 0:
+                    names.append(key)
+                    held.append(np.frombuffer(tokens, np.uint64))
+                elif names:
+                    index = index or Inverted(held)
+                    hits = [names[k] for k in index.search(np.frombuffer(tokens, np.uint64)).tolist()]
+                    a += [key] * len(hits)
+                    b += hits
+            if a:
+                yield table_of(_pair, a=a, b=b)
+
+    return told.repartition(n, "home", "task").sortWithinPartitions("home", "task", "asks").mapInArrow(find, "a long, b long").where("a <> b")
+
+
+def _pairs_of(size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of all sets of a group that may link by their sizes, which ascend, and by the smaller one's place."""
     leads = pos < size - -(-6 * size // 7) + 1
+    if len(size) <= 256:
+        yield np.triu_indices(len(size), 1)
+        return
     for i in np.flatnonzero(leads).tolist():
         # of one size, a set that leads meets those before it that don't
         same = np.arange(np.searchsorted(size, size[i], "left"), i)
@@ -319,10 +388,56 @@ def _all_pairs(token: int, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -
         yield np.full(len(j), i), j
 
 
-def _grouped(pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Components of many links: of one link for each set first, then of the links between what these give."""
-    found = scratch.save(components(pairs.groupBy("b").agg(F.min("a").alias("a")), scratch), "grouped")
-    return _composed(found, components(_between(pairs, found), scratch))
+def _sets(rows: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
+    """(key, size, tokens) of every set in a list, taken from one document that has it, whatever its id."""
+    wanted = lists.select("key").distinct()
+    one = members.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"))
+    holders = wanted.join(one, "key").select("key", F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.text_hash").alias("_hash"))
+
+    def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            flat, counts, keys = sets(batch.column("text").to_pylist())
+            ends = np.cumsum(counts)
+            keep = np.flatnonzero(keys == batch.column("key").to_numpy())
+            yield table_of(_set, key=keys[keep], size=counts[keep], tokens=[flat[ends[k] - counts[k] : ends[k]].tobytes() for k in keep])
+
+    texts = rows.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    return texts.join(holders, ["_id", "_hash"]).select("key", "text").mapInArrow(fetch, "key long, size long, tokens binary").dropDuplicates(["key"])
+
+
+def _verified(held_sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that do link. A query's set comes before those of its partners, which are indexed by blocks."""
+    sets_ = held_sets.select("key", "tokens")
+    of_b = pairs.join(sets_, pairs["b"] == sets_["key"]).select("a", F.lit(1).alias("role"), "b", "tokens")
+    queries = pairs.select("a").distinct()
+    of_a = queries.join(sets_, queries["a"] == sets_["key"]).select("a", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query, at = None, None
+        names: list[int] = []
+        partners: list[np.ndarray] = []
+
+        def block():
+            if names:
+                hits = Inverted(partners).search(query)
+                yield table_of(_pair, a=[at] * len(hits), b=[names[k] for k in hits])
+                names.clear()
+                partners.clear()
+
+        for batch in slices(batches, "tokens", 4 << 20):
+            for a, role, b, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "role", "b", "tokens"))):
+                if role == 0:
+                    yield from block()
+                    query, at = np.frombuffer(tokens, np.uint64), a
+                else:
+                    names.append(b)
+                    partners.append(np.frombuffer(tokens, np.uint64))
+                    if len(names) >= BLOCK:
+                        yield from block()
+        yield from block()
+
+    n = partitions(pairs.sparkSession)
+    return of_a.union(of_b).repartition(n, "a").sortWithinPartitions("a", "role").mapInArrow(search, "a long, b long")
 
 
 def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -340,11 +455,6 @@ def _composed(found: DataFrame, over: DataFrame) -> DataFrame:
     return own.union(over.join(found.select("node"), "node", "left_anti").select("node", "component"))
 
 
-def _can_one(size_a: int, pos_a: int, size_b: int, pos_b: int) -> bool:
-    """_can() of single numbers, size_a being the smaller size."""
-    return 4 * size_a >= 3 * size_b and min(size_a - pos_a, size_b - pos_b) >= needed(size_a, size_b) and (pos_a if size_a < size_b else min(pos_a, pos_b)) < size_a - -(-6 * size_a // 7) + 1
-
-
 def _can(size_a, pos_a, size_b, pos_b):
     """Whether sets that share the shingles at these places may link: by size, by place, and by the smaller's prefix."""
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
@@ -418,62 +528,12 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray,
     return names[order], np.minimum(parts, 1 << 14)[order].astype(np.int32)
 
 
-def _verified(rows: DataFrame, members: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs whose sets do reach the index. A query's set goes once to each group of its partners."""
-    n = partitions(rows.sparkSession)
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    holders = wanted.join(members.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key")
-
-    def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            flat, counts, keys = sets(batch.column("text").to_pylist())
-            ends = np.cumsum(counts)
-            keep = np.flatnonzero(keys == batch.column("key").to_numpy())
-            yield table_of(_set, key=keys[keep], tokens=[flat[ends[k] - counts[k] : ends[k]].tobytes() for k in keep])
-
-    held = scratch.save(rows.join(holders, "doc_id").select("key", "text").mapInArrow(fetch, "key long, tokens binary").dropDuplicates(["key"]), f"sets-{name}")
-    group = F.pmod(F.xxhash64("b"), F.lit(64)).cast("int")
-    busy = pairs.groupBy("a").agg(F.count("*").alias("n")).where(f"n > {BLOCK}").select("a", F.lit(1).alias("busy"))
-    salted = pairs.join(busy, "a", "left").select("a", "b", F.when(F.col("busy").isNotNull(), group).otherwise(F.lit(0)).alias("salt"))
-    of_b = salted.join(held, salted["b"] == held["key"]).select("a", "salt", F.lit(1).alias("role"), "b", "tokens")
-    queries = salted.select("a", "salt").distinct()
-    of_a = queries.join(held, queries["a"] == held["key"]).select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, at = None, None
-        names: list[int] = []
-        partners: list[np.ndarray] = []
-
-        def block():
-            if not names:
-                return
-            sizes = np.array([len(p) for p in partners])
-            hit = t_occurrence(query, partners, needed(len(query), sizes)) if query is not None else np.zeros(len(names), bool)
-            yield table_of(_pair, a=np.full(int(hit.sum()), at[0]), b=np.array(names)[hit])
-            names.clear()
-            partners.clear()
-
-        for batch in batches:
-            for a, salt, role, b, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "role", "b", "tokens"))):
-                if role == 0:
-                    yield from block()
-                    query, at = np.frombuffer(tokens, np.uint64), (a, salt)
-                elif at == (a, salt):
-                    names.append(b)
-                    partners.append(np.frombuffer(tokens, np.uint64))
-                    if len(names) >= BLOCK:
-                        yield from block()
-        yield from block()
-
-    return of_a.union(of_b).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(search, "a long, b long")
-
-
 POSTING = "token long, key long, size int, pos int, block int"
 _posting = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("block", pa.int32())])
 _pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_met = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_asked = pa.schema([("home", pa.int64()), ("asks", pa.int64()), ("key", pa.int64())])
 _run = pa.schema([("part", pa.int32()), ("names", pa.binary()), ("times", pa.binary())])
-_set = pa.schema([("key", pa.int64()), ("tokens", pa.binary())])
+_set = pa.schema([("key", pa.int64()), ("size", pa.int64()), ("tokens", pa.binary())])
 
 
 def join(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,21 +541,47 @@ def join(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
 
     Documents link when their sets of distinct 5-word shingles have a Jaccard index of 0.75 or more. component_id is
     the smallest doc_id reachable by links, the own one included. Null and wordless texts have no shingles and link
-    with nothing; their component is themselves. A null id is never the smallest where another is there; documents of
-    equal sets are one class and link whatever their ids, so repeated rows share a component. An empty table gives no
-    rows; other columns are not read. Sets are compared by 64-bit keys, shingles by 64-bit hashes.
+    with nothing; their component is themselves. A document without id links as any other; a null id is never the
+    smallest where another is there. Documents of equal sets are one class and link whatever their ids, so repeated
+    rows share a component. A very long text is one set. An empty table gives no rows; other columns are not read. Sets
+    are compared by 64-bit keys, shingles by 64-bit hashes.
     """
+    members, named = _named(docs, scratch, id_col, text_col)
+    return members.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of linked documents, with all its columns: the one of least id, then of least text hash.
+
+    Rows without words are in no group and stay, all of them. Of rows equal in id and text one stays; a row without id
+    stays only where its whole group has none.
+    """
+    members, named = _named(docs, scratch, id_col, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = members.where("key is not null").groupBy("key").agg(F.min(place).alias("one"))
+    kept = classes.join(named, "key").groupBy("component").agg(F.min("one").alias("one"))
+    kept = kept.select(F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.none").alias("_none"), F.col("one.text_hash").alias("_hash"))
+    text = F.col(text_col).cast("string")
+    # only three short columns are shuffled with each text, and what is equal in all of them is one row
+    known = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "_none": F.col(id_col).isNull(), "_hash": F.xxhash64(text)})
+    has_words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    chosen = known.where(has_words).join(kept, ["_id", "_none", "_hash"], "left_semi").dropDuplicates(["_id", "_none", "_hash"])
+    return chosen.unionByName(known.where(~has_words)).drop("_id", "_none", "_hash")
+
+
+def _named(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, key, n_shingles of every row; component and component_id of every key)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def of_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             _, counts, keys = sets(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, mask=counts == 0), pa.array(counts)], names=["doc_id", "key", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, mask=counts == 0), pa.array(counts)], names=["doc_id", "text_hash", "key", "n_shingles"])
 
-    members = scratch.save(rows.mapInArrow(of_sets, "doc_id long, key long, n_shingles long"), "members")
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    members = scratch.save(hashed.mapInArrow(of_sets, "doc_id long, text_hash long, key long, n_shingles long"), "members")
     found = linked(rows, members, scratch)
     classes = members.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     placed = classes.join(found.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = scratch.save(placed.join(names, "component").select("key", "component_id"), "named")
-    return members.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return members, scratch.save(placed.join(names, "component").select("key", "component", "component_id"), "named")

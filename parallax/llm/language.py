@@ -25,12 +25,16 @@ MOST_WORDS = 200_000  # that a worker remembers
 def sample(docs: DataFrame, train, per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """(lang, text) of at most per_lang training documents of each language, those of least hash of the id.
 
-    The limit acts before the shuffle, on ids alone; the texts are fetched by the ids chosen.
+    The limit acts on ids alone, first in shares of a language, so that no task ranks a whole one; the texts are fetched
+    by the ids chosen, which are broadcast: per_lang for each language. Of repeated ids one text is taken.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rank = F.row_number().over(W.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)))
-    chosen = rows.select(id_col, lang_col).withColumn("_rank", rank).where(F.col("_rank") <= per_lang).select(id_col).distinct()
-    return rows.join(chosen, id_col, "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).distinct().withColumn("h", F.xxhash64("id"))
+    for share in (F.pmod("h", F.lit(64)), F.lit(0)):
+        rank = F.row_number().over(W.partitionBy("lang", share).orderBy("h", "id"))
+        ids = ids.withColumn("rank", rank).where(F.col("rank") <= per_lang).select("id", "lang", "h")
+    texts = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    return texts.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 class Model:
@@ -46,7 +50,7 @@ class Model:
 
 
 def fit(rows: Iterable[tuple[str, str]], vocabulary: str, rounds: int = 2, smooth: float = 0.5, most_words: int = 20_000) -> Model:
-    """Learns from (lang, text) rows.
+    """Learns from (lang, text) rows; of each language's words, the most_words commonest count.
 
     The first counts are those of the vocabulary's own segmentation of the commonest words; each round replaces them
     by the counts expected over all segmentations (forward and backward sums).
@@ -72,8 +76,9 @@ def fit(rows: Iterable[tuple[str, str]], vocabulary: str, rounds: int = 2, smoot
         for _ in range(rounds):
             own = _smoothed(counts, smooth)
             counts = np.zeros_like(counts)
+            scaled = own * SCALE**lengths
             for word, n in common:
-                _expect(LEAD + word, n, own, table, counts)
+                _expect(LEAD + word, n, scaled, table, counts)
         shares[:, k] = _smoothed(counts, smooth) * SCALE**lengths
     return Model(langs, table, shares)
 
@@ -83,10 +88,11 @@ def _smoothed(counts: np.ndarray, smooth: float) -> np.ndarray:
 
 
 def _expect(word: str, n: int, own: np.ndarray, table: dict[str, int], counts: np.ndarray, longest: int = 16) -> None:
-    """Adds n times the expected number of each piece in the word."""
+    """Adds n times the expected number of each piece in the word; own holds shares times SCALE to the piece's length.
+
+    A word so long that its sum leaves the range of doubles, of many hundreds of letters, adds nothing.
+    """
     size = len(word)
-    if size > LONG:
-        return
     spans = []
     for i in range(size):
         found = [(i, j, table[word[i:j]]) for j in range(i + 1, min(size, i + longest) + 1) if word[i:j] in table]
@@ -96,7 +102,7 @@ def _expect(word: str, n: int, own: np.ndarray, table: dict[str, int], counts: n
         before[j] += before[i] * own[p]
     for i, j, p in reversed(spans):
         after[i] += own[p] * after[j]
-    if before[size] > 0:
+    if 0 < before[size] < math.inf and after[0] < math.inf:
         for i, j, p in spans:
             counts[p] += n * before[i] * own[p] * after[j] / before[size]
 
@@ -185,31 +191,58 @@ def predict(docs: DataFrame, model: Model, evidence: int = 10, id_col: str = "do
     words, so that long texts don't all score 1. The first in name order wins a tie. Repeated and null ids pass
     through; an empty table gives no rows; other columns are not read. The model is bounded by the vocabulary.
     """
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)
+    decide = _decisions(docs, model, evidence)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            best, score = decide(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
+
+
+def _decisions(docs: DataFrame, model: Model, evidence: int):
+    """A function for tasks: texts to their languages and scores."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide(texts: list[str | None]) -> tuple[list[str], list[float]]:
         m = held.value
         kept = worker_cache("language")
         if kept.get("model") is not m:
             kept.update(model=m, scorer=Scorer(m))
-        scorer = kept["scorer"]
-        for batch in slices(batches, "text"):
-            best, score = [], []
-            for logs, n in scorer.texts(batch.column("text").to_pylist()):
-                if not n or not m.langs:
-                    best.append("und")
-                    score.append(0.0)
-                    continue
-                k = int(np.argmax(logs))
-                shares = np.exp((logs - logs[k]) * min(n, evidence) / n)
-                best.append(m.langs[k])
-                score.append(float(1 / shares.sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+        best, score = [], []
+        for logs, n in kept["scorer"].texts(texts):
+            if not n or not m.langs:
+                best.append("und")
+                score.append(0.0)
+                continue
+            k = int(np.argmax(logs))
+            shares = np.exp((logs - logs[k]) * min(n, evidence) / n)
+            best.append(m.langs[k])
+            score.append(float(1 / shares.sum()))
+        return best, score
+
+    return decide
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
+
+def known(docs: DataFrame, model: Model, least: float = 0.5, evidence: int = 10, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of texts in a learned language: those with a letter and a score of least or more.
+
+    Rows are decided on one by one where they lie, so nulls and repeats in other columns don't matter.
+    """
+    decide = _decisions(docs, model, evidence)
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            best, score = decide(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([b != "und" and s >= least for b, s in zip(best, score)], pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
 
 
 def learn(docs: DataFrame, train, vocabulary: str, per_lang: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from a bounded sample: at most per_lang documents of each language reach the driver."""
+    """A model from a bounded sample: at most per_lang documents of each language reach the driver.
+
+    Null texts and languages are left out; with no row left, the model knows no language.
+    """
     return fit([(r["lang"], r["text"]) for r in sample(docs, train, per_lang, id_col, text_col, lang_col).toLocalIterator()], vocabulary)

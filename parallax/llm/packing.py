@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from parallax.llm.common import slices, table_of
 from parallax.llm.vocab import encoder
 
-TEXT = 16 << 20  # bytes of text that a task encodes at once
+TEXT = 8 << 20  # bytes of text that a task encodes at once
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
 

@@ -48,8 +48,9 @@ def terms(text: str | None) -> np.ndarray:
     """Term counts of a whole text, as logarithms of shares; zeros for one without characters."""
     data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     out = np.zeros(TERMS, np.float32)
-    if len(data) < 3:
+    if not len(data):
         return out
+    data = np.append(data, np.full(max(0, 3 - len(data)), 10, np.uint8))
     c = _CLASS[data]
     out[: CLASSES**3] = np.bincount(c[:-2] * CLASSES**2 + c[1:-1] * CLASSES + c[2:], minlength=CLASSES**3)
     low = data | np.uint8(32)
@@ -110,17 +111,21 @@ def fit(rows: list[tuple[str | None, int]], dims: int = 48) -> Space:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train, most: int = 4096, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Space:
-    """Fits on at most `most` labelled training rows, those of least hash of the id; no more than these reach the driver."""
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train).select(id_col, F.col(label_col).cast("int").alias("_y")).orderBy(F.xxhash64(F.col(id_col)), id_col).limit(most)
-    rows = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(chosen), id_col).select("_text", "_y", id_col)
-    return fit([(r["_text"], r["_y"]) for r in sorted(rows.limit(4 * most).collect(), key=lambda r: (r[id_col], r["_text"] or ""))])
+    """Fits on at most `most` labelled training ids, those of least hash; no more than one row of each reaches the driver.
+
+    Of repeated ids the larger label and the first text in order count.
+    """
+    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+    return fit([(r["_text"], r["_y"]) for r in sorted(rows.collect(), key=lambda r: r["_id"])])
 
 
 def score(docs: DataFrame, space: Space, k: int = 15, power: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every whole text, null and empty ones included.
 
     The space is broadcast; its size is bounded by the sample (4,096 vectors of 48 floats by default). Repeated and
-    null ids pass through; an empty table gives no rows; other columns are not read.
+    null ids pass through; equal similarities count as they come in the sample's order; an empty table gives no rows;
+    other columns are not read.
     """
     held = docs.sparkSession.sparkContext.broadcast(space)
 

@@ -44,11 +44,13 @@ def repeated_words(words: Column) -> Column:
     return F.element_at(F.transform(F.array(windows), one), 1)
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The counts of each whole text; a null text has no words."""
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: bool = False) -> DataFrame:
+    """The counts of each whole text; a null text has no words. carry: the whole row as `row`, too."""
+    row = ["row"] if carry else []
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"), *([F.struct(*docs.columns).alias("row")] if carry else []))
     cut = base.select(
+        *row,
         "doc_id",
         "lang",
         "source",
@@ -58,6 +60,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")).cast("long").alias("n_capitals"),
     )
     return cut.select(
+        *row,
         "doc_id",
         "lang",
         "source",
@@ -123,7 +126,19 @@ def judge(docs: DataFrame, scratch: Scratch, spread: float = 6.0, **columns: str
     above the fence of its language and source (null is a group of its own). Repeated ids are judged row by row; an
     empty table gives no rows; other columns are not read. The counts are taken once and written to the shared folder.
     """
-    counts = scratch.save(features(docs, **columns), "counts")
+    return _judged(features(docs, **columns), scratch, spread).select(*COLUMNS, "lang", "source")
+
+
+def kept_rows(docs: DataFrame, scratch: Scratch, spread: float = 6.0, **columns: str) -> DataFrame:
+    """The rows that judge() keeps, with all their columns; they lie beside their counts, so nothing is joined by id."""
+    return _judged(features(docs, carry=True, **columns), scratch, spread).where("kept").select("row.*")
+
+
+COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+def _judged(found: DataFrame, scratch: Scratch, spread: float) -> DataFrame:
+    counts = scratch.save(found, "counts")
     measured = with_metrics(counts)
     limits = fences(measured, scratch, spread)
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["g_lang"]) & measured["source"].eqNullSafe(limits["g_source"]), "left")
@@ -131,4 +146,4 @@ def judge(docs: DataFrame, scratch: Scratch, spread: float = 6.0, **columns: str
     within = F.lit(True)
     for m in METRICS:
         within = within & F.coalesce(F.col(m) <= F.col(f"most_{m}"), F.lit(False))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & within).alias("kept"), "lang", "source")
+    return joined.withColumns({"base_failed": base, "kept": ~base & within})

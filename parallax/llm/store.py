@@ -17,7 +17,7 @@ from parallax.llm.vocab import encoder
 
 LEAST, MASK, MOST = 64, 255, 2048  # of a chunk's ids; a cut wherever the rolling hash's low 8 bits are 0
 WINDOW = 16
-TEXT = 16 << 20  # bytes of text that a task encodes at once
+TEXT = 8 << 20  # bytes of text that a task encodes at once
 SEEN = 200_000  # digests that a task remembers, so as not to send a chunk twice
 
 STAGED = "kind string, digest binary, doc_id long, n_tokens long, data binary, lengths binary"

@@ -134,11 +134,12 @@ def test_jaccard(docs, scratch):
 
 def test_t_occurrence_is_exact():
     rng = np.random.default_rng(1)
-    for _ in range(30):
-        query = np.unique(rng.integers(0, 80, 40).astype(np.uint64))
-        partners = [np.unique(rng.integers(0, 80, rng.integers(1, 60)).astype(np.uint64)) for _ in range(20)]
-        least = rng.integers(1, 30, 20)
-        assert jaccard.t_occurrence(query, partners, least).tolist() == [len(np.intersect1d(query, p)) >= n for p, n in zip(partners, least)]
+    for _ in range(60):
+        query = np.unique(rng.integers(0, 80, 60).astype(np.uint64))
+        near = [np.setdiff1d(np.append(query, rng.integers(80, 99, 3).astype(np.uint64)), rng.choice(query, rng.integers(0, 14))) for _ in range(30)]
+        partners = [np.unique(p) for p in near] + [np.unique(rng.integers(0, 80, rng.integers(1, 60)).astype(np.uint64)) for _ in range(20)]
+        want = [k for k, p in enumerate(partners) if 100 * len(np.intersect1d(query, p)) >= 75 * len(np.union1d(query, p))]
+        assert jaccard.Inverted(partners).search(query).tolist() == want
 
 
 def test_rules(docs, scratch):
@@ -207,16 +208,6 @@ def test_html(spark):
     assert got[1][0] == "Head & more\n\nOne, two.\n\nThree four." and got[2] == ("", 0) and got[None] == ("", 0) and got[4][0] == "plain, text." and got[1][1] == len(got[1][0])
 
 
-def test_pipeline_stages(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        before = docs.count()
-        docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
-        assert 0 < docs.count() <= before
-
-
 def test_words_and_their_punctuation_are_encoded_as_the_library_does():
     import random
 
