@@ -1,4 +1,8 @@
-"""From raw documents to packed sequences, stage by stage. Part of the subpackage llm."""
+"""From raw documents to packed sequences, stage by stage. Part of the subpackage llm.
+
+Stages decide on rows, not on ids: a row is kept or goes by what it holds itself, whatever other rows have its id. Nulls
+are allowed in every column; an empty table passes through.
+"""
 
 from __future__ import annotations
 
@@ -11,35 +15,30 @@ from parallax.llm import jaccard, language, packing, rules, suffixes
 from parallax.llm.common import Scratch, fold
 from parallax.llm.queries import BYTE_BPE, PIECES
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, and those of no learned language (a share under one half)."""
-    model = language.learn(docs, fold("doc_id", 4) != 2, PIECES)
-    found = language.predict(docs, model)
-    bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < 0.5)).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+    return language.known(docs, language.learn(docs, fold("doc_id", 4) != 2, PIECES))
 
 
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the quality rules don't keep."""
-    bad = rules.judge(docs, Scratch(spark, "rules")).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+    return rules.kept_rows(docs, Scratch(spark, "rules"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document of smallest id."""
-    groups = jaccard.join(docs, Scratch(spark, "jaccard"))
-    copies = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps of each group of near copies one document: of least id, then of least text hash; equal rows are one."""
+    return jaccard.one_of_each(docs, Scratch(spark, "jaccard"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that also start earlier; parts of a character left at a cut go, and so do documents left empty."""
-    left = suffixes.remove_repeats(docs, Scratch(spark, "suffixes"), carry=("lang", "source"))
-    cut = left.withColumn("text", suffixes.as_text("kept")).where((F.col("text") != "") | (F.col("n_removed") == 0))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    left = suffixes.remove_repeats(rows, Scratch(spark, "suffixes"), carry=("_row",))
+    text = F.when(F.col("n_removed") > 0, suffixes.as_text("kept")).otherwise(F.col("_row.text"))
+    cut = left.withColumn("_text", text).where((F.col("_text") != "") | (F.col("n_removed") == 0))
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars"))}
+    return cut.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
