@@ -84,6 +84,16 @@ def give_back() -> None:
         pass
 
 
+def trimmed(function: Callable) -> Callable:
+    """A function for mapInArrow(); when a task ends, its worker, which waits for another one, gives free memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return task
+
+
 def free(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove shuffle files that nothing refers to any more."""
     for _ in range(2):  # what the first pass finds unused holds on to the rest until the second
@@ -93,10 +103,7 @@ def free(spark: SparkSession) -> None:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that the strings of a column hold about most_bytes; one long text stays whole.
-
-    At the end the worker, which waits for its next task, gives its free memory back.
-    """
+    """Cuts batches so that the strings of a column hold about most_bytes; one long text stays whole."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -105,7 +112,6 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
         edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
-    give_back()
 
 
 def table_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -158,7 +164,6 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str], most: int
                 yield table
     if rows:
         yield cut(True)
-    give_back()
 
 
 def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:

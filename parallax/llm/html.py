@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices
+from parallax.llm.common import slices, trimmed
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -216,6 +216,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     No shuffle. Repeated and null ids pass through; an empty table gives no rows; other columns are not read.
     """
 
+    @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             texts = ["\n\n".join(content(blocks(h or ""))) for h in batch.column("html").to_pylist()]

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, components, partitions, runs, slices, sorted_groups, table_of, worker_cache
+from parallax.llm.common import Scratch, components, partitions, runs, slices, sorted_groups, table_of, trimmed, worker_cache
 
 WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
@@ -173,6 +173,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     n = partitions(spark)
     held = spark.sparkContext.broadcast(_long_lists(rows, n, scratch))
 
+    @trimmed
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in slices(batches, "text", 1 << 20):
@@ -201,6 +202,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
             if token:
                 yield table_of(_posting, token=np.concatenate(token).view(np.int64), key=np.concatenate(key), size=np.concatenate(size), pos=np.concatenate(pos), block=np.concatenate(block))
 
+    @trimmed
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The postings of sets that may link with another one of the list; all of those that are dealt in blocks."""
         for t in sorted_groups(batches, ["token", "block"]):
@@ -250,6 +252,7 @@ def _next_ones(lists: DataFrame, found: DataFrame, k: int) -> DataFrame:
     none is held but the last.
     """
 
+    @trimmed
     def neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         seen: set = set()
@@ -292,6 +295,7 @@ def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: S
     index = F.when(F.col("shingles") <= INDEX, F.pmod(F.xxhash64("component"), F.lit(few))).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("key"), parts)))
     placed = scratch.save(sets_.join(of, "component").select("key", "component", "members", index.alias("home")), "homes", small=True)
 
+    @trimmed
     def asks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for t in sorted_groups(batches, ["token", "low", "high"]):
@@ -353,6 +357,7 @@ def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: S
     told = asked.join(busy, "home").withColumn("task", F.when(F.col("asks") == 1, F.array(F.pmod(F.xxhash64("key"), F.col("tasks")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tasks") - 1)))
     told = told.select("home", F.explode("task").alias("task"), "asks", "key").join(held_sets.select("key", "tokens"), "key")
 
+    @trimmed
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, names, held, index = None, [], [], None
         for batch in slices(batches, "tokens", 4 << 20):
@@ -394,6 +399,7 @@ def _sets(rows: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
     one = members.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"))
     holders = wanted.join(one, "key").select("key", F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.text_hash").alias("_hash"))
 
+    @trimmed
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             flat, counts, keys = sets(batch.column("text").to_pylist())
@@ -402,6 +408,7 @@ def _sets(rows: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
             yield table_of(_set, key=keys[keep], size=counts[keep], tokens=[flat[ends[k] - counts[k] : ends[k]].tobytes() for k in keep])
 
     texts = rows.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    # by a shuffle at every size, so that what is read and written grows in proportion
     return texts.join(holders, ["_id", "_hash"]).select("key", "text").mapInArrow(fetch, "key long, size long, tokens binary").dropDuplicates(["key"])
 
 
@@ -412,6 +419,7 @@ def _verified(held_sets: DataFrame, pairs: DataFrame) -> DataFrame:
     queries = pairs.select("a").distinct()
     of_a = queries.join(sets_, queries["a"] == sets_["key"]).select("a", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
 
+    @trimmed
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query, at = None, None
         names: list[int] = []
@@ -483,6 +491,7 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray,
     once from each run however many documents hold it.
     """
 
+    @trimmed
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         held: list[np.ndarray] = []
@@ -507,6 +516,7 @@ def _long_lists(rows: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray,
         if size:
             yield flush()
 
+    @trimmed
     def long(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sorted_groups(batches, ["part"], most=64):
             names = np.concatenate([np.cumsum(_numbers(b, np.uint64)) for b in t.column("names").to_pylist()])
@@ -573,6 +583,7 @@ def _named(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> tup
     """(doc_id, text_hash, key, n_shingles of every row; component and component_id of every key)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    @trimmed
     def of_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             _, counts, keys = sets(batch.column("text").to_pylist())

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, worker_cache
+from parallax.llm.common import slices, trimmed, worker_cache
 
 LETTERS = regex.compile(r"\p{L}+")
 LEAD = "▁"  # the vocabulary's sign for the start of a word
@@ -193,6 +193,7 @@ def predict(docs: DataFrame, model: Model, evidence: int = 10, id_col: str = "do
     """
     decide = _decisions(docs, model, evidence)
 
+    @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             best, score = decide(batch.column("text").to_pylist())
@@ -232,6 +233,7 @@ def known(docs: DataFrame, model: Model, least: float = 0.5, evidence: int = 10,
     """
     decide = _decisions(docs, model, evidence)
 
+    @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             best, score = decide(batch.column(text_col).to_pylist())

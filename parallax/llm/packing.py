@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, table_of
+from parallax.llm.common import slices, table_of, trimmed
 from parallax.llm.vocab import encoder
 
 TEXT = 8 << 20  # bytes of text that a task encodes at once
@@ -83,6 +83,7 @@ def pack(
     cut into many sequences; a null id stays null; repeated ids are packed as separate documents; an empty table gives no rows; other columns
     are not read. A task that runs again deals the same rows in the same way.
     """
+    @trimmed
     def tasks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

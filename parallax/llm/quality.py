@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices
+from parallax.llm.common import slices, trimmed
 
 #: Terms: 9^3 triples of character classes, 512 hashed byte pairs, and 32 marks of repetition.
 CLASSES, PAIRS, MARKS = 9, 512, 32
@@ -129,6 +129,7 @@ def score(docs: DataFrame, space: Space, k: int = 15, power: float = 4.0, id_col
     """
     held = docs.sparkSession.sparkContext.broadcast(space)
 
+    @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, partitions, slices, table_of
+from parallax.llm.common import Scratch, partitions, slices, table_of, trimmed
 from parallax.llm.vocab import encoder
 
 LEAST, MASK, MOST = 64, 255, 2048  # of a chunk's ids; a cut wherever the rolling hash's low 8 bits are 0
@@ -85,6 +85,7 @@ class Tree:
 def part_roots(recipes: DataFrame) -> DataFrame:
     """part, n_docs, n_tokens, root: the Merkle root over the roots of each part's documents in order."""
 
+    @trimmed
     def roots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, tree, docs, tokens = None, Tree(), 0, 0
         for batch in batches:
@@ -140,6 +141,7 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
     """
     spark = docs.sparkSession
     n = partitions(spark)
+    @trimmed
     def stage(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in slices(batches, "text", TEXT):
@@ -171,6 +173,7 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
             if rows:
                 yield table_of(STAGED_ARROW, **dict(zip(STAGED_ARROW.names, zip(*rows))))
 
+    @trimmed
     def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
@@ -243,6 +246,7 @@ def digests(chunks: DataFrame, recipes: DataFrame, manifest: DataFrame) -> DataF
 
     verify(recipes, manifest)
 
+    @trimmed
     def of_chunks(batches):
         for batch in batches:
             crc, size = [], []
@@ -254,6 +258,7 @@ def digests(chunks: DataFrame, recipes: DataFrame, manifest: DataFrame) -> DataF
                 size.append(len(wide))
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(crc, pa.int64()), pa.array(size, pa.int64())], names=["digest", "crc", "size"])
 
+    @trimmed
     def of_recipes(batches):
         for batch in batches:
             out: list[tuple] = []
@@ -265,6 +270,7 @@ def digests(chunks: DataFrame, recipes: DataFrame, manifest: DataFrame) -> DataF
                 out += [(doc, start, n, joined[32 * i : 32 * i + 32], 4 * int(a), 4 * int(s)) for i, (a, s) in enumerate(zip(after, sizes))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["doc_id", "start", "n_tokens", "digest", "after", "own"])
 
+    @trimmed
     def terms(batches):
         for batch in batches:
             if batch.num_rows:
@@ -283,12 +289,14 @@ def digests(chunks: DataFrame, recipes: DataFrame, manifest: DataFrame) -> DataF
 def ids(chunks: DataFrame, recipes: DataFrame) -> DataFrame:
     """The documents' whole id streams, rebuilt from the files: doc_id, start, ids (16-bit, little-endian)."""
 
+    @trimmed
     def steps(batches):
         for batch in batches:
             out = [(d, s, i, j[32 * i : 32 * i + 32]) for d, s, j in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "digests"))) for i in range(len(j) // 32)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "start", "step", "digest"])
 
+    @trimmed
     def whole(batches):
         now, doc, parts = None, None, []
 

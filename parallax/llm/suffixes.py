@@ -3,12 +3,11 @@
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, partitions, slices, table_of
+from parallax.llm.common import Scratch, partitions, slices, table_of, trimmed
 
 DIGIT = 32  # bytes of the first digit
 UNIT = 4 << 20  # bytes of a long text that are treated at once; units overlap by a window
@@ -151,6 +150,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
     """
     n = partitions(docs.sparkSession)
 
+    @trimmed
     def first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         rows = 0
@@ -197,6 +197,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
         doc, crc, span, key = (np.concatenate(c) for c in zip(*rows))
         return table_of(_span_schema, kind=np.full(len(doc), OPEN, np.int32), doc_id=doc, text_crc=crc, span=span, band=key)
 
+    @trimmed
     def second_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple[int, int] | None = None  # digit and context of the last row
         waiting: tuple | None = None  # the first of a digit, while no second context of it has come
@@ -235,6 +236,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
     dealt = docs.mapInArrow(first_pass, ANCHORS).repartition(n, "digit").sortWithinPartitions("kind", "digit", "context", "doc_id", "text_crc", "place")
     spans = scratch.save(dealt.mapInArrow(second_pass, SPANS), "spans")
 
+    @trimmed
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data", 2 << 20):
             rows = []
@@ -254,6 +256,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
             same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
             yield table_of(_window_schema, kind=np.where(same, OUT, OPEN).astype(np.int32), w1=a, w2=b, doc_id=doc[order], text_crc=crc[order], place=place[order])
 
+    @trimmed
     def third_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
@@ -278,8 +281,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int = 100) -> DataF
     return spans.where(F.col("kind") == OUT).union(late).groupBy("doc_id", "text_crc").agg(F.collect_list("span").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Every document with what is left of its bytes: doc_id, n_bytes, n_removed, n_spans, spans, kept (binary).
+def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """Every document with what is left of its bytes: doc_id, n_bytes, n_removed, n_spans, spans, kept.
+
+    kept is binary; as_text makes it a string, without parts of characters that a cut has left.
 
     A byte goes if a string of depth bytes that covers it also starts earlier: in a document of smaller id, or
     earlier in the same one. Strings are judged on the input; they may overlap, and never cross documents. A null text
@@ -291,6 +296,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col:
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.crc32(text).alias("text_crc"), text.alias("data"), *carry)
     spans = repeated_spans(rows.drop(*carry), scratch, depth)
 
+    @trimmed
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
             out = []
@@ -304,21 +310,10 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, depth: int = 100, id_col:
                         runs.append([start, end])
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 kept = b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                out.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(runs), [{"start": a, "end": b} for a, b in runs], kept))
+                out.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(runs), [{"start": a, "end": b} for a, b in runs], kept.decode("utf-8", "ignore") if as_text else kept))
             own = [pa.array(c, t) for c, t in zip(zip(*out), types)]
             yield pa.RecordBatch.from_arrays([*own, *(batch.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", *carry])
 
-    schema = ", ".join(["doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)])
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+    schema = ", ".join(["doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>", f"kept {'string' if as_text else 'binary'}", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)])
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string() if as_text else pa.binary()]
     return rows.join(spans, ["doc_id", "text_crc"], "left").select("doc_id", "data", "spans", *carry).mapInArrow(cut, schema)
-
-
-
-def as_text(column: str) -> Column:
-    """Bytes as text, without parts of characters that a cut has left."""
-
-    @F.pandas_udf("string")
-    def text(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return text(F.col(column))

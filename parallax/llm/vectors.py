@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, components, partitions, runs, sorted_groups, table_of
+from parallax.llm.common import Scratch, components, partitions, runs, sorted_groups, table_of, trimmed
 
 TABLES = 6  # independent hash tables
 PROBES = 3  # buckets of a vector in each: its own, and the two that differ in one of the two hashes
@@ -87,6 +87,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, least: float = 0.9, id
     """
     n = partitions(vectors.sparkSession)
 
+    @trimmed
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, data = [], []
@@ -105,6 +106,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, least: float = 0.9, id
     valid = rows.where("key is not null")
     classes = scratch.save(valid.groupBy("key").agg(F.count("*").alias("size"), F.min("vec_id").alias("least"), F.first("vector").alias("vector")), "classes")
 
+    @trimmed
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -119,6 +121,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, least: float = 0.9, id
 
     indexed = scratch.save(classes.select("key", "size", "vector").mapInArrow(hashed, "key long, size long, vector binary, buckets binary, width int"), "indexed")
 
+    @trimmed
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = batch.num_rows
@@ -137,6 +140,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, least: float = 0.9, id
     met = met.withColumn("other", other).select("key", *at, "salt", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), F.col("probe"))
     met = met.join(indexed.select("key", "size", "vector", "buckets"), "key")
 
+    @trimmed
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sorted_groups(batches, ["width", "tab", "bucket", "i", "j"], most=20_000):
             names = {c: t.column(c).to_numpy() for c in ("key", "size", "width", "tab", "bucket", "salt", "i", "j", "probe")}
