@@ -409,7 +409,7 @@ def _sets(rows: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
 
     texts = rows.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     # by a shuffle at every size, so that what is read and written grows in proportion
-    return texts.join(holders, ["_id", "_hash"]).select("key", "text").mapInArrow(fetch, "key long, size long, tokens binary").dropDuplicates(["key"])
+    return texts.join(holders.hint("merge"), ["_id", "_hash"]).select("key", "text").mapInArrow(fetch, "key long, size long, tokens binary").dropDuplicates(["key"])
 
 
 def _verified(held_sets: DataFrame, pairs: DataFrame) -> DataFrame:
