@@ -34,8 +34,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that also start earlier; parts of a character left at a cut go, and so do documents left empty."""
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    left = suffixes.remove_repeats(rows, Scratch(spark, "suffixes"), carry=("_row",))
-    text = F.when(F.col("n_removed") > 0, suffixes.as_text("kept")).otherwise(F.col("_row.text"))
+    left = suffixes.remove_repeats(rows, Scratch(spark, "suffixes"), carry=("_row",), as_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_row.text"))
     cut = left.withColumn("_text", text).where((F.col("_text") != "") | (F.col("n_removed") == 0))
     new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars"))}
     return cut.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
