@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: quotes and dashes and what they become
-CURLY, PLAIN = "“”„‟«»‘’‚‛–—", "\"\"\"\"\"\"''''--"
+# fixed values: quotes and dashes and what they become; the words for chapter
+CURLY, PLAIN = "“”„‘’‚–—", "\"\"\"'''--"
+CHAPTER = "chapter|kapitel|chapitre|capítulo"
 
 
 def normalize_title(title: Column, authors: Column) -> Column:
     """A title for strict comparison.
 
-    In this order: plain quotes and dashes; no leading chapter number; no author before (with . : or -), after (with
+    In this order: plain quotes and dashes; no leading chapter number, with or without the word; no author before (with . : or -), after (with
     the same, or in parentheses); no parenthesis at the end; trimmed. Authors are taken as they are.
     """
     t = F.replace(F.translate(title, CURLY, PLAIN), F.lit("…"), F.lit("..."))
-    t = F.regexp_replace(t, r"^\s*(?:\d+(?:\.\d+)*|[IVXLCDM]+)[.)]?\s+", "")
+    t = F.regexp_replace(t, rf"(?iuU)^\s*(?:(?:{CHAPTER})\s+)?\d+(?:\.\d+)*\s*[.:]?\s+", "")
 
     def without(t: Column, author: Column) -> Column:
         name = F.concat(F.lit(r"\Q"), F.trim(author), F.lit(r"\E"))
-        t = F.regexp_replace(t, F.concat(F.lit(r"(?iu)^\s*"), name, F.lit(r"\s*[.:\-]\s*")), F.lit(""))
+        t = F.regexp_replace(t, F.concat(F.lit(r"(?iuU)^\s*"), name, F.lit(r"\s*[.:\-]\s*")), F.lit(""))
         t = F.regexp_replace(t, F.concat(F.lit(r"(?iu)\s*[.:\-]\s*"), name, F.lit(r"\s*$")), F.lit(""))
         return F.regexp_replace(t, F.concat(F.lit(r"(?iu)\s*\(\s*"), name, F.lit(r"\s*\)\s*$")), F.lit(""))
 

@@ -18,18 +18,19 @@ def readers(entries: DataFrame) -> DataFrame:
     return who.withColumnRenamed("reader", "side_a").join(other, "key").where("side_a < side_b")
 
 
-def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
+def candidates(a: DataFrame, b: DataFrame, ordered: bool = False) -> DataFrame:
     """(key, side_a, side_b, i, j, score, near) of entries that may match.
 
     a and b: key, reader, ordinal, title, authors, page_key. Entries with pages match on equal page keys and a title
     score of 70 or more; those without a page only with each other, by near identity. The page is part of the join's
-    key, so no pair is scored whose pages differ; each pair of titles is scored once.
+    key, so no pair is scored whose pages differ; each pair of titles is scored once. ordered: only readers in the
+    order of their names, as where a and b are the same.
     """
     def side(d, n, o):
         strict = F.lower(normalize_title(F.col("title"), F.col("authors")))
         return d.select("key", F.coalesce("page_key", F.lit("-")).alias("at"), F.col("reader").alias(f"side_{n}"), F.col("ordinal").alias(o), F.col("title").alias(f"title_{n}"), strict.alias(f"strict_{n}"))
 
-    met = side(a, "a", "i").join(side(b, "b", "j"), ["key", "at"]).where("side_a <> side_b")
+    met = side(a, "a", "i").join(side(b, "b", "j"), ["key", "at"]).where("side_a < side_b" if ordered else "side_a <> side_b")
     names = ["title_a", "title_b", "strict_a", "strict_b"]
     scored = met.select(*names).distinct().withColumn("score", similarity.title_score(F.col("title_a"), F.col("title_b"))).withColumn("strict", similarity.token_sort_ratio(F.col("strict_a"), F.col("strict_b")))
     scored = met.join(scored, names)

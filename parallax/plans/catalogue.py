@@ -32,19 +32,29 @@ def six(c: str) -> Column:
 PLAIN = (sql.READINGS, sql.entries())
 ALL = (*PLAIN, sql.SIDES, sql.ALIGNED, sql.RATES)
 CLOSE = (sql.READINGS, sql.PERTURBED, sql.entries("perturbed"), sql.SIDES, sql.ALIGNED, sql.RATES, sql.GATE)
+REAL = (*PLAIN, sql.TRUTH, sql.GOLD.replace("WHERE reader = 'A'", "WHERE reader = 'A' AND NOT skip"), sql.ALIGNED, sql.GOLD_SCORES)
 GOLD = (*PLAIN, sql.TRUTH, sql.GOLD, sql.ALIGNED, sql.GOLD_SCORES)
 
 
 def _rated(entries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pairs = align.readers(entries)
-    found = align.candidates(entries, entries).where("side_a < side_b")
+    found = align.candidates(entries, entries, ordered=True)
     matched = align.align(found)
     return pairs, matched, align.rates(entries, matched, pairs)
 
 
-def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each reader's counts against reader A of the arbitrated orders; both sides are ordered by page first."""
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = adapters.perturbed(spark, sf_dir)
+    pairs, matched, rates = _rated(entries)
+    return gate.merge(entries, gate.best_pair(gate.passed(rates)), align.diff(entries, matched, pairs))
+
+
+def _gold(spark: SparkSession, sf_dir: str, skipped: bool = True) -> DataFrame:
+    """Each reader's counts against reader A of the arbitrated orders; both sides are ordered by page first. skipped:
+    entries to skip count as truth, too."""
     entries = adapters.readings(spark, sf_dir)
+    if not skipped:
+        entries = entries.where("reader <> 'A' or not skip")
     order = W.partitionBy("key", "reader").orderBy(F.col("page").isNull(), F.coalesce("page_val", F.lit(0)), F.coalesce("page", F.lit("")), "ordinal")
     entries = entries.withColumn("ordinal", F.row_number().over(order))
     truth = adapters.truth(spark, sf_dir).where("source = 'agent_arbitration'")
@@ -158,11 +168,12 @@ def gate_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gated.select("key", "side_a", "side_b", "n_a", "n_b", "matched", "near", six("rate"), "passed")
 
 
-@registered(sql.query(*ALL, sql.GATE, select="SELECT reason, count(*) AS n_books FROM (SELECT e.key, CASE WHEN e.n < 2 THEN 'single_reading_only' WHEN b.key IS NOT NULL THEN 'ok' ELSE 'below_threshold' END AS reason FROM (SELECT key, count(DISTINCT reader) AS n FROM entries GROUP BY 1) e LEFT JOIN best b ON b.key = e.key) GROUP BY 1"))
+@registered(sql.query(*ALL, sql.GATE, select="SELECT reason, count(*) AS n_books FROM (SELECT e.key, CASE WHEN e.n = 0 THEN 'no_entries' WHEN e.n < 2 THEN 'single_reading_only' WHEN b.key IS NOT NULL THEN 'ok' ELSE 'below_threshold' END AS reason FROM (SELECT o_orderkey AS key, count(DISTINCT reader) AS n FROM orders LEFT JOIN entries ON key = o_orderkey GROUP BY 1) e LEFT JOIN best b ON b.key = e.key) GROUP BY 1"))
 def gate_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = adapters.readings(spark, sf_dir)
     best = gate.best_pair(gate.passed(_rated(entries)[2]))
-    return gate.outcomes(entries, best).groupBy("reason").agg(F.count("*").alias("n_books"))
+    books = adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    return gate.outcomes(entries, best, books).groupBy("reason").agg(F.count("*").alias("n_books"))
 
 
 @registered(sql.query(*ALL, sql.GATE, select="SELECT key, side_a, side_b, round(rate, 6) AS rate FROM best"))
@@ -170,18 +181,17 @@ def gate_best_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.best_pair(gate.passed(_rated(adapters.readings(spark, sf_dir))[2])).select("key", "side_a", "side_b", six("rate"))
 
 
-@registered(sql.query(*CLOSE, select="""SELECT key, row_number() OVER (PARTITION BY key ORDER BY page IS NULL, coalesce(page_val, 0), coalesce(page, ''), side, ordinal) AS position, title, page, skip FROM (
-  SELECT e.*, CASE WHEN m.i IS NOT NULL THEN 0 ELSE 1 END AS side FROM best b JOIN entries e ON e.key = b.key AND e.reader = b.side_a LEFT JOIN matched m ON m.key = b.key AND m.side_a = b.side_a AND m.side_b = b.side_b AND m.i = e.ordinal
-  UNION ALL SELECT e.*, 2 FROM best b JOIN entries e ON e.key = b.key AND e.reader = b.side_b WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.key = b.key AND m.side_a = b.side_a AND m.side_b = b.side_b AND m.j = e.ordinal))"""))
+@registered(sql.query(*CLOSE, select="""SELECT key, row_number() OVER (PARTITION BY key ORDER BY page IS NULL, coalesce(page_val, 0), coalesce(page, ''), side, ordinal) AS position, title, CASE WHEN reader = 'B' OR ordinal % 2 = 0 THEN reader || ' author ' || ordinal WHEN side = 0 THEN 'B author ' || j ELSE '' END AS authors, page, skip FROM (
+  SELECT e.*, CASE WHEN m.i IS NOT NULL THEN 0 ELSE 1 END AS side, m.j FROM best b JOIN entries e ON e.key = b.key AND e.reader = b.side_a LEFT JOIN matched m ON m.key = b.key AND m.side_a = b.side_a AND m.side_b = b.side_b AND m.i = e.ordinal
+  UNION ALL SELECT e.*, 2, NULL FROM best b JOIN entries e ON e.key = b.key AND e.reader = b.side_b WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.key = b.key AND m.side_a = b.side_a AND m.side_b = b.side_b AND m.j = e.ordinal))"""))
 def gate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = adapters.perturbed(spark, sf_dir)
-    pairs, matched, rates = _rated(entries)
-    return gate.merge(entries, gate.best_pair(gate.passed(rates)), align.diff(entries, matched, pairs))
+    return _merged(spark, sf_dir).withColumn("authors", F.array_join("authors", "; "))
 
 
-@registered(sql.query(*GOLD, select="SELECT key, model, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM evaluated"))
+@registered(sql.query(*REAL, select="SELECT key, model, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM evaluated"))
 def evaluate_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gold(spark, sf_dir).select("key", "model", "tp", "fp", "fn", six("precision"), six("recall"), six("f1"))
+    """Each reader's entries against the truth's real ones."""
+    return _gold(spark, sf_dir, skipped=False).select("key", "model", "tp", "fp", "fn", six("precision"), six("recall"), six("f1"))
 
 
 @registered(sql.query(*GOLD, select="SELECT model, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, n_books FROM accuracy"))
@@ -259,8 +269,7 @@ def coverage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("SELECT o_custkey AS key, min(o_orderkey) AS first_position FROM orders GROUP BY 1")
 def requested_keys_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys as requested, in their first places."""
-    place = F.row_number().over(W.partitionBy("key").orderBy("first_position"))
-    return adapters.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("first_position")).withColumn("_n", place).where("_n = 1").drop("_n")
+    return adapters.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.min("o_orderkey").alias("first_position"))
 
 
 @registered("""WITH RECURSIVE w AS (SELECT user_id AS page, value AS vpos, (second(ts) + event_id / 1e6)::DOUBLE AS hpos, event_type AS content, row_number() OVER (PARTITION BY user_id ORDER BY value, second(ts) + event_id / 1e6) AS k FROM events),
@@ -271,3 +280,6 @@ def row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapters.table(spark, sf_dir, "events")
     hpos = (F.second("ts") + F.col("event_id") / 1e6).cast("double")
     return layout.row_clusters(events.select(F.col("user_id").alias("page"), F.col("value").alias("vpos"), hpos.alias("hpos"), F.col("event_type").alias("content")))
+
+
+from parallax.plans import registry  # noqa: E402,F401  adds its queries to the catalogue

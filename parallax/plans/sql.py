@@ -12,13 +12,13 @@ READINGS = """readings AS (
 
 PERTURBED = """base AS (SELECT * FROM readings WHERE reader = 'A'), perturbed AS (
   SELECT * FROM base UNION ALL
-  SELECT key, 'B', ordinal, CASE WHEN (key * 31 + ordinal * 7) % 20 = 3 THEN '3 ' || title ELSE title END, CASE WHEN (key * 31 + ordinal * 7) % 20 <> 5 THEN page END, skip FROM base)"""
+  SELECT key, 'B', ordinal, CASE (key * 31 + ordinal * 7) % 20 WHEN 3 THEN '3 ' || title WHEN 7 THEN 'Chapter 4: ' || title WHEN 9 THEN 'I ' || title ELSE title END, CASE WHEN (key * 31 + ordinal * 7) % 20 <> 5 THEN page END, skip FROM base)"""
 
 
 def entries(source: str = "readings") -> str:
     """entries: the source with page_val, and page_at, on which pages are equivalent; strict is the title for near identity."""
     return f"""entries AS (
-  SELECT *, coalesce(page_val::VARCHAR, '-') AS page_at, lower(trim(regexp_replace(title, '^\\s*(?:\\d+(?:\\.\\d+)*|[IVXLCDM]+)[.)]?\\s+', ''))) AS strict
+  SELECT *, coalesce(page_val::VARCHAR, '-') AS page_at, lower(trim(regexp_replace(title, '^\\s*(?:(?:chapter|kapitel|chapitre|capítulo)\\s+)?\\d+(?:\\.\\d+)*\\s*[.:]?\\s+', '', 'i'))) AS strict
   FROM (SELECT *, coalesce(try_cast(page AS INTEGER), list_position(['i','ii','iii','iv','v','vi','vii'], lower(page))) AS page_val FROM {source}))"""
 
 

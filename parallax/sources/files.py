@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parallax.functions.pages import page_key, parse_page
@@ -28,7 +29,7 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
 def named(raw: DataFrame) -> DataFrame:
     """Readings of files <key>.<reader>.json; the key ends at the first dot. kind is vision where it isn't given."""
     name = F.col("_metadata.file_name")
-    return raw.select(F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 1).alias("key"), F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 2).alias("reader"), F.coalesce("kind", F.lit("vision")).alias("kind"), "generated_at", "duration_seconds", "entries").where(F.size("entries") > 0)
+    return raw.select(F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 1).alias("key"), F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 2).alias("reader"), F.coalesce("kind", F.lit("vision")).alias("kind"), "generated_at", "duration_seconds", "entries")
 
 
 def truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,5 +51,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def keys(spark: SparkSession, path: str) -> DataFrame:
-    """One key a line; blank lines and # comments don't count."""
-    return spark.read.text(path).select(F.trim("value").alias("key")).where("key <> '' and not startswith(key, '#')").distinct()
+    """(key, position): one key a line, in the order of their first lines; blank lines and # comments don't count."""
+    lines = spark.read.text(path).select(F.trim("value").alias("key"), F.monotonically_increasing_id().alias("line"))
+    first = lines.where("key <> '' and not startswith(key, '#')").groupBy("key").agg(F.min("line").alias("line"))
+    return first.orderBy("line").select("key", F.row_number().over(W.orderBy("line")).alias("position"))

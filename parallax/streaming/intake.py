@@ -36,9 +36,9 @@ def decide(batch: DataFrame, number: int, folder: str, least: float = gate.LEAST
     newest = F.row_number().over(W.partitionBy("key", "reader").orderBy(F.desc("batch"), F.desc("generated_at")))
     now = held.where(F.col("batch") <= number).join(touched, ["bucket", "key"], "left_semi").withColumn("_n", newest).where("_n = 1")
     entries = files.exploded(now, "key", "reader")
-    matched = align.align(align.candidates(entries, entries).where("side_a < side_b"))
+    matched = align.align(align.candidates(entries, entries, ordered=True))
     best = gate.best_pair(gate.passed(align.rates(entries, matched, align.readers(entries)), least))
-    decided = gate.outcomes(entries, best).join(best.select("key", "side_a", "side_b", "rate"), "key", "left")
+    decided = gate.outcomes(entries, best, touched).join(best.select("key", "side_a", "side_b", "rate"), "key", "left")
     decided.write.mode("overwrite").parquet(f"{folder}/decisions/batch={number}")
 
 

@@ -65,3 +65,22 @@ def test_common_against_the_table(seed):
             for j, y in enumerate(b):
                 row.append(max(old[j + 1], row[j], old[j] + (x == y)))
         assert similarity.common(a, b) == row[-1]
+
+
+def test_titles_lose_numbers_and_chapter_words_only(spark):
+    from parallax.functions import text
+
+    cases = {"Chapter 1: Ethics": "Ethics", "2: Ethics": "Ethics", "Kapitel 3.1 Ethik": "Ethik", "Capítulo 4. Casas": "Casas", "I Robot": "I Robot", "C Major": "C Major", "1.4 Revenues": "Revenues", "„Ruhe“ (Übersetzt).": '"Ruhe"', "3) x": "3) x"}
+    rows = spark.createDataFrame([(k, [""]) for k in cases], "t string, a array<string>")
+    assert {r[0]: r[1] for r in rows.select("t", text.normalize_title(F.col("t"), F.col("a"))).collect()} == cases
+
+
+def test_records(spark):
+    from parallax.functions import records
+
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(records.model_of(F.lit("--x 1 --model=lab/m.2 --y"))) == "lab/m.2" and one(records.model_of(F.lit("--x"))) is None
+    assert one(records.file_part(F.lit("lab/m"))) == "lab__m"
+    assert one(records.answer_entries(F.lit("[{"))) is None and one(records.answer_entries(F.lit("none"))) is None
+    got = one(records.answer_entries(F.lit('```\n[{"title": 1234, "skip": "false", "printed_page_number": 7.0}, {"title": null}, [1]]\n```')))
+    assert [tuple(r) for r in got] == [("1234", [], "7", True)]

@@ -21,7 +21,7 @@ def test_readings_are_gated_as_they_arrive(spark, tmp_path):
     put(source, "one", "b.v2", titles)
     put(source, "two", "a", titles)
     put(source, "none", "a", [])
-    assert decided() == {"one": "ok", "two": "single_reading_only"}
+    assert decided() == {"one": "ok", "two": "single_reading_only", "none": "no_entries"}
     put(source, "two", "b.v2", ["Einleitung", "Anderes", "Ergebnisse"])
     assert decided() == {"one": "ok", "two": "below_threshold"}
     put(source, "two", "c", titles)
