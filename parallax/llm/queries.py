@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, store, suffixes, vectors
+from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, sql, store, suffixes, vectors
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,4 +89,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE_SQL)
