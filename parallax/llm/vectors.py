@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -12,10 +13,18 @@ from pyspark.sql import functions as F
 
 from parallax.llm.common import Scratch, components, partitions, runs, sorted_groups, table_of, trimmed
 
-TABLES = 6  # independent hash tables
 PROBES = 3  # buckets of a vector in each: its own, and the two that differ in one of the two hashes
 BLOCK = 2048  # rows of a bucket that meet in one task; larger buckets are met block by block
-_signs = np.random.default_rng(20260803).choice([-1.0, 1.0], (TABLES, 2, 3, 4096))
+
+
+def tables(d: int) -> int:
+    """Independent hash tables for vectors of a padded width: near vectors meet less often in one the wider they are."""
+    return 6 + max(0, 3 * (d.bit_length() - 7) // 2)
+
+
+@functools.cache
+def _signs(d: int) -> np.ndarray:
+    return np.random.default_rng((20260803, d)).choice([-1.0, 1.0], (tables(d), 2, 3, d))
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -31,20 +40,21 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def buckets(x: np.ndarray) -> np.ndarray:
-    """(vectors, TABLES, PROBES): the buckets of unit vectors, the own one first.
+    """(vectors, tables, PROBES): the buckets of unit vectors, the own one first.
 
     A hash turns the vector by three rounds of random signs and a Hadamard transform; its value is the nearest signed
     axis. A bucket is named by two hashes; a probe has the second nearest axis of one of them.
     """
     d = 1 << max(1, (x.shape[1] - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, d - x.shape[1])))
-    out = np.zeros((len(x), TABLES, PROBES), np.int64)
-    for t in range(TABLES):
+    signs = _signs(d)
+    out = np.zeros((len(x), len(signs), PROBES), np.int64)
+    for t in range(len(signs)):
         near = []
         for k in range(2):
             y = x
             for r in range(3):
-                y = hadamard(y * _signs[t, k, r, :d])
+                y = hadamard(y * signs[t, k, r])
             size = np.abs(y)
             rows = np.arange(len(y))
             first = size.argmax(1)
@@ -59,7 +69,7 @@ def buckets(x: np.ndarray) -> np.ndarray:
 def _matrix(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors and their buckets, of rows of equal width."""
     x = np.stack([np.frombuffer(b, np.float64) for b in batch.column("vector").to_pylist()])
-    return x / np.linalg.norm(x, axis=1, keepdims=True), np.stack([np.frombuffer(b, np.int64) for b in batch.column("buckets").to_pylist()]).reshape(-1, TABLES, PROBES)
+    return x / np.linalg.norm(x, axis=1, keepdims=True), np.stack([np.frombuffer(b, np.int64) for b in batch.column("buckets").to_pylist()]).reshape(len(x), -1, PROBES)
 
 
 def _components(pairs_a: np.ndarray, pairs_b: np.ndarray, n: int) -> np.ndarray:
@@ -126,10 +136,10 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, least: float = 0.9, id
         for batch in batches:
             m = batch.num_rows
             if m:
-                b = np.stack([np.frombuffer(v, np.int64) for v in batch.column("buckets").to_pylist()])
-                at = np.repeat(np.arange(m), TABLES * PROBES)
-                slot = np.tile(np.arange(TABLES * PROBES), m)
-                yield pa.RecordBatch.from_arrays([pa.array(batch.column("key").to_numpy()[at]), pa.array(batch.column("width").to_numpy()[at]), pa.array((slot // PROBES).astype(np.int32)), pa.array(b.ravel()), pa.array((slot % PROBES > 0).astype(np.int32))], names=["key", "width", "tab", "bucket", "probe"])
+                b = [np.frombuffer(v, np.int64) for v in batch.column("buckets").to_pylist()]
+                at = np.repeat(np.arange(m), [len(v) for v in b])
+                slot = np.concatenate([np.arange(len(v)) for v in b])
+                yield pa.RecordBatch.from_arrays([pa.array(batch.column("key").to_numpy()[at]), pa.array(batch.column("width").to_numpy()[at]), pa.array((slot // PROBES).astype(np.int32)), pa.array(np.concatenate(b)), pa.array((slot % PROBES > 0).astype(np.int32))], names=["key", "width", "tab", "bucket", "probe"])
 
     places = scratch.save(indexed.select("key", "width", "buckets").mapInArrow(spread, "key long, width int, tab int, bucket long, probe int"), "places")
     at = ["width", "tab", "bucket"]
