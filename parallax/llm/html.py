@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parallax.llm.common import slices, trimmed
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？；：、]")
 # fixed values: HTML element names, and words in class and id names that mark what isn't the article
@@ -27,6 +27,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 IN_HEAD = {"head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "template", "noscript", "noframes"}
 ALWAYS_OUT = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "comment", "comments", "reply", "replies", "respond", "disqus", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "login", "signup", "search"}
 OFTEN_OUT = {"banner", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "related", "recommended", "footer", "header", "masthead", "toolbar", "widget", "pagination", "pager", "copyright", "disclaimer", "complementary", "contentinfo"}
+#: In an article a name must consist of words that mark, and of these for parts: social-links is out, social-history isn't.
+PARTS = {"area", "author", "banner", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "count", "field", "footer", "form", "group", "header", "icon", "icons", "inline", "inner", "item", "left", "link", "links", "list", "media", "message", "meta", "module", "outer", "panel", "right", "section", "sidebar", "slot", "text", "thread", "title", "top", "unit", "widget", "wrap", "wrapper"}
 #: How much more the ratio of a container that the page names as its article counts: decides between similar ones.
 NAMED_ARTICLE = 2
 ARTICLE = {"content", "article", "post", "entry", "story", "main", "body", "text"}
@@ -56,7 +58,12 @@ def _marked_out(tag: str, attributes: str, inside_article: bool) -> bool:
         return bool(re.search(r"\shidden\b", attributes))
     words: set[str] = set()
     for m in NAMED.finditer(attributes):
-        words.update(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1]).lower()))
+        if inside_article and re.fullmatch("h[1-6]", tag) and m[0].lstrip()[:2].lower() == "id":
+            continue  # a heading's anchor is made of its text
+        for name in m[1].strip("\"'").split():
+            found = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+            if not inside_article or found <= ALWAYS_OUT | PARTS:
+                words |= found
     return bool(words & ALWAYS_OUT) or bool(words & OFTEN_OUT and not words & ARTICLE and not inside_article)
 
 
@@ -93,6 +100,8 @@ def blocks(page: str) -> list[list]:
             if stack[-1].link:
                 links += len(text.strip())
 
+    last = page.rfind(">") + 1  # behind it, a tag can't end: what looks like one is text
+    page = page[:last] + re.sub("<(?=/?[a-zA-Z])", "&lt;", page[last:])
     at = 0
     while at < len(page):
         m = TAG.search(page, at)

@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from parallax.llm import html, jaccard, rules
+from parallax.llm import html, jaccard, rules, vectors
 from parallax.llm.common import Scratch
 
 
@@ -113,6 +113,55 @@ def test_main_text_without_or_beside_an_article():
     assert text(f"<body>{nav}<div><div>Title</div><div><p>{long}</div>{nav}<div><p>{long}</div></div>") == ["Title", long, long]
 
 
+def test_names_in_an_article_mark_by_all_their_words():
+    text = lambda page: html.content(html.blocks(page))
+    kept = '<article><h2 id="share-prices">Share prices</h2><section class="social-history"><p>One, two.</p></section>{}</article>'
+    for name in ("ad", "ad-slot", "comment-list", "shareButtons", "x social-links", "reader-x comments"):
+        assert text(kept.format(f'<div class="{name}"><p>Not this, at all.</p></div>')) == ["Share prices", "One, two."], name
+    assert text(kept.format("<div class='search-theory'><p>Three, four.</p></div>")) == ["Share prices", "One, two.", "Three, four."]
+
+
+def test_broken_tags_take_linear_time():
+    import time
+
+    start = time.monotonic()
+    for broken in ("<" + "a" * 500_000, "<a " * 200_000, '<a "' * 200_001, '<a b="x> ' * 2001):
+        assert html.blocks("<p>ok</p>" + broken)[0][3] == "ok"
+    assert time.monotonic() - start < 20
+    assert html.content(html.blocks("<p>1 < 2, and a <b")) == ["1 < 2, and a <b"]
+
+
+@pytest.mark.parametrize("width", [64, 384, 768, 5000])
+def test_recall_at_the_least_cosine_follows_no_width(width):
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(draw.normal(size=(300, width)))
+    e = draw.normal(size=(300, width))
+    b = 0.9 * a + np.sqrt(1 - 0.81) * unit(e - (e * a).sum(1, keepdims=True) * a)
+    x, y = vectors.buckets(a), vectors.buckets(b)
+    met = ((x[:, :, 0, None] == y).any(2) | (y[:, :, 0, None] == x).any(2)).any(1)
+    assert met.mean() >= 0.94
+
+
+def test_vectors_of_several_widths_in_one_table(spark, scratch):
+    import numpy as np
+
+    draw = np.random.default_rng(6)
+    rows, links = [], {}
+    for width in (1, 8, 64, 300, 5000):
+        for _ in range(4):
+            v = draw.normal(size=width)
+            first = len(rows)
+            rows += [(first, v.tolist()), (first + 1, (v + 0.01 * draw.normal(size=width) / width**0.5 * np.linalg.norm(v)).tolist()), (first + 2, (3 * v).tolist())]
+    x = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    for i, p in enumerate(x):
+        links[i] = sum(len(p) == len(q) and float(p @ q) >= 0.9 for q in x) - 1
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scratch).collect()}
+    assert got == links
+
+
 def test_added_tokens_are_encoded_as_the_library_does():
     import pyarrow as pa
     from tokenizers import Tokenizer
