@@ -24,20 +24,38 @@ def candidates(a: DataFrame, b: DataFrame, ordered: bool = False) -> DataFrame:
     a and b: key, reader, ordinal, title, authors, page_key. Entries with pages match on equal page keys and a title
     score of 70 or more; those without a page only with each other, by near identity. The page is part of the join's
     key, so no pair is scored whose pages differ; each pair of titles is scored once. ordered: only readers in the
-    order of their names, as where a and b are the same.
+    order of their names, as where a and b are the same. Where a side has a column title_variants (an array, may be
+    null), the score is the best of all its titles with all of the other's; near identity is of the titles alone.
     """
+    wide = "title_variants" in a.columns or "title_variants" in b.columns
+
+    def titles(d):
+        if not wide:
+            return F.col("title")
+        variants = F.col("title_variants") if "title_variants" in d.columns else F.lit(None)
+        return F.concat(F.array("title"), F.coalesce(variants, F.array().cast("array<string>")))
+
     def side(d, n, o):
         strict = F.lower(normalize_title(F.col("title"), F.col("authors")))
-        return d.select("key", F.coalesce("page_key", F.lit("-")).alias("at"), F.col("reader").alias(f"side_{n}"), F.col("ordinal").alias(o), F.col("title").alias(f"title_{n}"), strict.alias(f"strict_{n}"))
+        return d.select("key", F.coalesce("page_key", F.lit("-")).alias("at"), F.col("reader").alias(f"side_{n}"), F.col("ordinal").alias(o), titles(d).alias(f"title_{n}"), strict.alias(f"strict_{n}"))
 
     met = side(a, "a", "i").join(side(b, "b", "j"), ["key", "at"]).where("side_a < side_b" if ordered else "side_a <> side_b")
     names = ["title_a", "title_b", "strict_a", "strict_b"]
-    scored = met.select(*names).distinct().withColumn("score", similarity.title_score(F.col("title_a"), F.col("title_b"))).withColumn("strict", similarity.token_sort_ratio(F.col("strict_a"), F.col("strict_b")))
+    scored = met.select(*names).distinct()
+    scored = _best_of_variants(scored, names) if wide else scored.withColumn("score", similarity.title_score(F.col("title_a"), F.col("title_b")))
+    scored = scored.withColumn("strict", similarity.token_sort_ratio(F.col("strict_a"), F.col("strict_b")))
     scored = met.join(scored, names)
     ok = F.when(F.col("at") == "-", F.col("strict") >= similarity.NEAR).otherwise(F.col("score") >= similarity.MATCH)
     return scored.where(ok).select("key", "side_a", "side_b", "i", "j", F.when(F.col("at") == "-", F.col("strict")).otherwise(F.col("score")).alias("score"), (F.col("strict") >= similarity.NEAR).alias("near"))
 
 
+def _best_of_variants(met: DataFrame, names: list[str]) -> DataFrame:
+    """met, whose title_a and title_b are arrays, with the best score of their titles; each pair of titles is scored once."""
+    ways = met.withColumn("x", F.explode("title_a")).withColumn("y", F.explode("title_b"))
+    scores = ways.select("x", "y").distinct().withColumn("score", similarity.title_score(F.col("x"), F.col("y")))
+    return ways.join(scores, ["x", "y"]).groupBy(*names).agg(F.max("score").alias("score"))
+
+
 def align(found: DataFrame) -> DataFrame:
     """The greedy alignment: (key, side_a, side_b, i, j, near).
 

@@ -140,6 +140,14 @@ def align_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rated(adapters.readings(spark, sf_dir))[1]
 
 
+@registered(sql.query(sql.READINGS, sql.WRAPPED, sql.entries("wrapped"), sql.VARIANTS, sql.scored("met"), select="""SELECT key, i, j, round(CASE WHEN page_at = '-' THEN strict ELSE score END, 6) AS score, strict >= 95 AS near
+FROM (SELECT key, i, j, page_at, max(score) AS score, max(strict) AS strict FROM met JOIN scores USING (ta, tb, sa, sb) GROUP BY ALL) WHERE CASE WHEN page_at = '-' THEN strict >= 95 ELSE score >= 70 END"""))
+def variant_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that may match when the variants of titles count, too."""
+    entries = adapters.wrapped(spark, sf_dir)
+    return align.candidates(entries, entries, ordered=True).select("key", "i", "j", six("score"), "near")
+
+
 @registered(sql.query(*ALL, select="""SELECT key, side_a, side_b, 'matched' AS kind, i, j FROM matched
 UNION ALL SELECT p.key, p.side_a, p.side_b, 'only_a', e.ordinal, NULL FROM pairs p JOIN entries e ON e.key = p.key AND e.reader = p.side_a WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.key = p.key AND m.side_a = p.side_a AND m.side_b = p.side_b AND m.i = e.ordinal)
 UNION ALL SELECT p.key, p.side_a, p.side_b, 'only_b', NULL, e.ordinal FROM pairs p JOIN entries e ON e.key = p.key AND e.reader = p.side_b WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.key = p.key AND m.side_a = p.side_a AND m.side_b = p.side_b AND m.j = e.ordinal)"""))

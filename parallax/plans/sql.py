@@ -59,6 +59,12 @@ walk AS (SELECT DISTINCT key, side_a, side_b, 0::BIGINT AS r, 0::BIGINT AS last,
   LEFT JOIN LATERAL (SELECT c.j, c.near FROM cand c WHERE c.key = w.key AND c.side_a = w.side_a AND c.side_b = w.side_b AND c.i = s.i AND c.j > w.last ORDER BY c.score DESC, c.j DESC LIMIT 1) b ON true),
 matched AS (SELECT key, side_a, side_b, i, j, near FROM walk WHERE j IS NOT NULL)"""
 
+#: Reader B has the last word of a title, and the whole as its variant; met has a row for each pair of titles.
+WRAPPED = """wrapped AS (SELECT *, []::VARCHAR[] AS variants FROM readings WHERE reader = 'A'
+  UNION ALL SELECT * REPLACE ('B' AS reader, string_split(title, ' ')[-1] AS title), [title] FROM readings WHERE reader = 'A')"""
+VARIANTS = """met AS (SELECT a.key, a.ordinal AS i, b.ordinal AS j, a.page_at, x.t AS ta, y.t AS tb, a.strict AS sa, b.strict AS sb
+  FROM entries a JOIN entries b ON a.key = b.key AND a.page_at = b.page_at AND a.reader < b.reader, unnest(list_append(a.variants, a.title)) x(t), unnest(list_append(b.variants, b.title)) y(t))"""
+
 SIDES = "left_side AS (SELECT *, false AS fixed FROM entries), right_side AS (SELECT * FROM entries)"
 
 RATES = """sizes AS (SELECT key, reader, count(*) AS n FROM entries GROUP BY ALL),

@@ -41,6 +41,15 @@ def perturbed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("authors", F.when((F.col("reader") == "B") | (F.col("ordinal") % 2 == 0), author).otherwise(F.col("authors")))
 
 
+def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reader A's entries, and as B the same with the last word of a title as the title and the whole as its variant, as
+    where a title's last line is all that was captured."""
+    base = readings(spark, sf_dir).where("reader = 'A'").select("key", "ordinal", "title", "page", "skip")
+    none = F.lit(None).cast("array<string>")
+    last = base.select("key", F.lit("B").alias("reader"), "ordinal", F.element_at(F.split("title", " "), -1).alias("title"), "page", "skip", F.array("title").alias("title_variants"))
+    return with_pages(base.withColumns({"reader": F.lit("A"), "title_variants": none}).unionByName(last))
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders: those that are filled have arbitrated truth, open ones gated truth, others none."""
     source = F.when(F.col("o_orderstatus") == "F", "agent_arbitration").when(F.col("o_orderstatus") == "O", "bulk_gate")

@@ -18,6 +18,13 @@ def test_pages_and_titles(spark):
     assert matched(entries(spark, a=[("Titel", "9"), ("Ende", None)], b=[("Titel", "11"), ("Ende", "331")])) == []
 
 
+def test_variants_of_a_title_count(spark):
+    rows = [("k", "a", 1, "und Verantwortung", "9", ["Einleitung: Endlichkeit und Verantwortung"]), ("k", "a", 2, "Ende", "11", None), ("k", "b", 1, "Von der Endlichkeit: Einleitung", "9", ["Endlichkeit und Verantwortung, Einleitung"]), ("k", "b", 2, "Schluss", "11", ["Ende"])]
+    df = with_pages(spark.createDataFrame(rows, "key string, reader string, ordinal int, title string, page string, title_variants array<string>"))
+    assert matched(df) == [(1, 1), (2, 2)]
+    assert matched(df.drop("title_variants")) == []
+
+
 def test_order_is_kept(spark):
     assert matched(entries(spark, a=[("Erster", "9"), ("Zweiter", "40")], b=[("Zweiter", "40"), ("Erster", "9")])) == [(1, 2)]
 
