@@ -113,4 +113,62 @@ FROM measured LEFT JOIN fences ON lang IS NOT DISTINCT FROM g_lang AND source IS
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op4_suffixes": REPEATS, "op5_vectors": VECTORS, "op8_rules": rules(), "op9_jaccard": JACCARD}
+def _cheapest(*ways: str) -> str:
+    """The least of structs of cost, edits and lines."""
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _more(lane: str, cost: str, edit: str, line: str = "") -> str:
+    lines = f"list_append({lane}.t, {line})" if line else f"{lane}.t"
+    return f"{{'c': {lane}.c + {cost}, 'a': {lane}.a || '{edit}', 't': {lines}}}"
+
+
+def _open(lane: str) -> str:
+    """The expressions of the four lanes (nothing, s, u, a) when turns may be inserted first."""
+    user, assistant = "'user:'", "'assistant:'"
+    return f"{lane}.b AS b, {lane}.s AS s, {_cheapest(f'{lane}.u', *(_more(f'{lane}.{x}', '5', 'I', user) for x in 'bsa'))} AS u, {_cheapest(f'{lane}.a', *(_more(_more(f'{lane}.{x}', '5', 'I', user), '5', 'I', assistant) for x in 'bs'), _more(f'{lane}.u', '5', 'I', assistant))} AS a"
+
+
+def turns() -> str:
+    """Damage by a CRC-32 written out, and a search forward with the cheapest edits of each state."""
+    never = "{'c': 1000000000, 'a': '', 't': []::VARCHAR[]}"
+    same, made = "r.role || ':' || r.text", {"u": "'user:' || r.text", "a": "'assistant:' || r.text"}
+    extra = "CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END"
+
+    def to(state: str, froms: str, initial: str) -> str:
+        ways = [_more(f"o.{state}", "2", "D")]
+        ways += [f"CASE WHEN r.fault NOT IN ('blank', 'duplicate') AND left(r.role, 1) = '{initial}' THEN {_more(f'o.{x}', extra, 'K', same)} ELSE {_more(f'o.{state}', '2', 'D')} END" for x in froms]
+        if state in made:
+            ways += [f"CASE WHEN r.fault NOT IN ('blank', 'duplicate') THEN {_more(f'o.{x}', f'1 + {extra}', 'R', made[state])} ELSE {_more(f'o.{state}', '2', 'D')} END" for x in froms]
+        return _cheapest(*ways)
+
+    return rf"""
+WITH RECURSIVE crcs AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)), lambda c, b: xor(c >> 8, crcs.t[(xor(c, b) & 255) + 1]))) % 20 AS d
+  FROM conversations, crcs),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM drawn)),
+placed AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS k FROM damaged),
+judged AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY k) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE 'none' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY g ORDER BY k) || left(role, 1) AS pair
+  FROM placed),
+walk AS (
+  SELECT g, 0::BIGINT AS k, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS b, {never} AS s, {never} AS u, {never} AS a FROM (SELECT DISTINCT g FROM placed)
+  UNION ALL SELECT o.g, r.k, {_more('o.b', '2', 'D')}, {to('s', 'b', 's')}, {to('u', 'bsa', 'u')}, {to('a', 'u', 'a')}
+  FROM (SELECT w.g, w.k, {_open('w')} FROM walk w) o JOIN judged r ON r.g = o.g AND r.k = o.k + 1),
+ends AS (SELECT o.g, {_cheapest('o.b', 'o.a')} AS e FROM (SELECT w.g, {_open('w')} FROM walk w JOIN (SELECT g, max(k) AS k FROM placed GROUP BY g) m ON m.g = w.g AND m.k = w.k) o),
+found AS (
+  SELECT any_value(conv_id) AS conv_id, g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+    count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY g)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(array_to_string(e.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM i.conv_id AND f.g IS NOT NULL LEFT JOIN ends USING (g)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_suffixes": REPEATS, "op5_vectors": VECTORS, "op8_rules": rules(), "op9_jaccard": JACCARD, "op12_turns": turns()}

