@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, jaccard, language, packing, quality, rules, sql, store, suffixes, turns, vectors
+from parallax.llm import bytebpe, html, jaccard, language, packing, quality, ranked, rules, sql, store, suffixes, turns, vectors
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Scratch(spark, "op11"))
+
+
 def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Scratch(spark, "op12"))
 
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rules": op8_rules,
         "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
+        "op11_search": op11_search,
         "op12_turns": op12_turns,
         "pipeline": pipeline,
     }

@@ -113,6 +113,27 @@ FROM measured LEFT JOIN fences ON lang IS NOT DISTINCT FROM g_lang AND source IS
 """
 
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SEARCH = f"""
+WITH terms AS MATERIALIZED (
+  SELECT r, doc_id, unnest(t) AS term, len(t) AS n FROM (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS t FROM documents)),
+items AS (
+  SELECT q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+asked AS MATERIALIZED (SELECT q, item_id, term, count(*) AS times FROM items GROUP BY ALL),
+whole AS MATERIALIZED (SELECT count(DISTINCT r) AS n_docs, count(*) AS n_terms FROM terms),
+counted AS MATERIALIZED (SELECT r, doc_id, term, n, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, whole GROUP BY term, n_docs),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weighed USING (term), whole GROUP BY ALL)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0) WHERE place <= 20
+"""
+
+
 def _cheapest(*ways: str) -> str:
     """The least of structs of cost, edits and lines."""
     return f"list_sort([{', '.join(ways)}])[1]"
@@ -171,4 +192,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN found f ON f.conv_
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op4_suffixes": REPEATS, "op5_vectors": VECTORS, "op8_rules": rules(), "op9_jaccard": JACCARD, "op12_turns": turns()}
+ORACLE_SQL: dict[str, str] = {"op4_suffixes": REPEATS, "op5_vectors": VECTORS, "op8_rules": rules(), "op9_jaccard": JACCARD, "op11_search": SEARCH, "op12_turns": turns()}
