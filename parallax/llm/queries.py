@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, jaccard, language, packing, quality, ranked, rules, sql, store, suffixes, turns, vectors
+from parallax.llm import bytebpe, html, jaccard, language, ordermin, packing, quality, ranked, rules, sql, store, suffixes, turns, vectors
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,10 @@ def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Scratch(spark, "op12"))
 
 
+def op13_ordermin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.fingerprints(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository's top; it imports this module
 
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": op10_packing,
         "op11_search": op11_search,
         "op12_turns": op12_turns,
+        "op13_ordermin": op13_ordermin,
         "pipeline": pipeline,
     }
 
