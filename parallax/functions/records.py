@@ -80,6 +80,11 @@ def file_part(model: Column) -> Column:
     return F.replace(model, F.lit("/"), F.lit("__"))
 
 
+def model_from_file_part(part: Column) -> Column:
+    """A model's name from how it stands in file names; one that had two underscores of its own doesn't come back."""
+    return F.replace(part, F.lit("__"), F.lit("/"))
+
+
 def binding_window(headers: Column) -> Column:
     """The longest window of which nothing remains; null if no header says so."""
     spent = F.transform(F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]).startswith("x-ratelimit-remaining-") & (F.trim(e["value"]) == "0")), lambda e: F.regexp_extract(F.lower(e["key"]), r"([^-]*)$", 1))

@@ -22,11 +22,11 @@ def normalize_title(title: Column, authors: Column) -> Column:
     def without(t: Column, author: Column) -> Column:
         name = F.concat(F.lit(r"\Q"), F.trim(author), F.lit(r"\E"))
         t = F.regexp_replace(t, F.concat(F.lit(r"(?iuU)^\s*"), name, F.lit(r"\s*[.:\-]\s*")), F.lit(""))
-        t = F.regexp_replace(t, F.concat(F.lit(r"(?iu)\s*[.:\-]\s*"), name, F.lit(r"\s*$")), F.lit(""))
-        return F.regexp_replace(t, F.concat(F.lit(r"(?iu)\s*\(\s*"), name, F.lit(r"\s*\)\s*$")), F.lit(""))
+        t = F.regexp_replace(t, F.concat(F.lit(r"(?iuU)\s*[.:\-]\s*"), name, F.lit(r"\s*$")), F.lit(""))
+        return F.regexp_replace(t, F.concat(F.lit(r"(?iuU)\s*\(\s*"), name, F.lit(r"\s*\)\s*$")), F.lit(""))
 
     t = F.aggregate(F.filter(F.coalesce(authors, F.array().cast("array<string>")), lambda a: F.trim(a) != ""), t, without)
-    return F.trim(F.regexp_replace(t, r"\s*\([^()]*\)\.?\s*$", ""))
+    return F.trim(F.regexp_replace(t, r"(?U)\s*\([^()]*\)\.?\s*$", ""))
 
 
 def without_fence(answer: Column) -> Column:

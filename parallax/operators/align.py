@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parallax.functions import similarity
 from parallax.functions.text import normalize_title
+from parallax.operators.streams import folded
 
 SIDE = ["ordinal", "title", "page", "page_key", "page_val", "skip"]
 
@@ -59,20 +61,26 @@ def _best_of_variants(met: DataFrame, names: list[str]) -> DataFrame:
 def align(found: DataFrame) -> DataFrame:
     """The greedy alignment: (key, side_a, side_b, i, j, near).
 
-    In a's order, each entry takes the best candidate behind the last one taken; of equal scores the last wins. One
-    fold over a document's candidates, whose number is bounded by the two readings' entries.
+    In a's order, each entry takes the best candidate behind the last one taken; of equal scores the last wins. Two
+    readings' candidates are gone through one at a time, in order, so readings may have any length.
     """
-    per_i = found.groupBy("key", "side_a", "side_b", "i").agg(F.collect_list(F.struct("score", "j", "near")).alias("cs"))
-    ordered = per_i.groupBy("key", "side_a", "side_b").agg(F.sort_array(F.collect_list(F.struct("i", "cs"))).alias("steps"))
-    empty = F.array().cast("array<struct<i: int, j: int, near: boolean>>")
-
-    def step(state, s):
-        best = F.array_max(F.filter(s["cs"], lambda c: c["j"] > state["last"]))
-        taken = F.struct(best["j"].alias("last"), F.concat(state["pairs"], F.array(F.struct(s["i"].alias("i"), best["j"].alias("j"), best["near"].alias("near")))).alias("pairs"))
-        return F.when(best.isNull(), state).otherwise(taken)
+    names = ["key", "side_a", "side_b"]
 
-    pairs = F.aggregate("steps", F.struct(F.lit(0).alias("last"), empty.alias("pairs")), step, lambda s: s["pairs"])
-    return ordered.select("key", "side_a", "side_b", F.inline(pairs))
+    def step(rows):
+        last, now, best = 0, None, None
+        for *own, i, _, j, near in rows:
+            if i != now:
+                if best:
+                    yield best
+                    last = best[4]
+                now, best = i, None
+            if j > last:  # in order of score and j
+                best = (*own, i, j, near)
+        if best:
+            yield best
+
+    schema = StructType([*(found.schema[c] for c in [*names, "i", "j", "near"])])
+    return folded(found.select(*names, "i", "score", "j", "near"), names, ["i", "score", "j"], step, schema)
 
 
 def diff(entries: DataFrame, matched: DataFrame, pairs: DataFrame) -> DataFrame:

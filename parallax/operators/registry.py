@@ -6,10 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.functions import records
+from parallax.functions import records, text
 from parallax.operators import align, metrics
 
 
+def manifest_entries(found: DataFrame, license: str, license_source: str, *carried: str) -> DataFrame:
+    """Bibliographic records as entries of a manifest, with whether they fit in one; carried columns stay.
+
+    A title that is missing is empty; other fields that are missing are null.
+    """
+    key = text.record_key(F.col("isbn"), F.col("id"))
+    return found.select(
+        *carried,
+        records.matches(F.col("type"), F.col("tableOfContents")).alias("fits"),
+        key.alias("key"),
+        F.coalesce("title", F.lit("")).alias("title"),
+        records.language(F.col("language")).alias("language"),
+        "doi",
+        records.toc_url(F.col("tableOfContents")).alias("toc_download_url"),
+        records.api_url(F.col("id")).alias("lobid_url"),
+        F.concat(key, F.lit(".pdf")).alias("filename"),
+        F.lit(license).alias("license"),
+        F.lit(license_source).alias("license_source"),
+    )
+
+
 def chapters(items: DataFrame) -> DataFrame:
     """(key, ordinal, title, authors, page) of the items that are chapters."""
     found = items.select("key", "ordinal", records.chapter(F.struct(*items.columns)).alias("c")).where("c is not null")

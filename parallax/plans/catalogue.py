@@ -10,6 +10,7 @@ from parallax.functions import pages, similarity, text
 from parallax.operators import align, catalog, gate, layout, metrics, sampling
 from parallax.plans import sql
 from parallax.sources import adapters
+from parallax.storage import saved
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -31,7 +32,7 @@ def six(c: str) -> Column:
 
 PLAIN = (sql.READINGS, sql.entries())
 ALL = (*PLAIN, sql.SIDES, sql.ALIGNED, sql.RATES)
-CLOSE = (sql.READINGS, sql.PERTURBED, sql.entries("perturbed"), sql.SIDES, sql.ALIGNED, sql.RATES, sql.GATE)
+CLOSE = sql.CLOSE_PARTS
 REAL = (*PLAIN, sql.TRUTH, sql.GOLD.replace("WHERE reader = 'A'", "WHERE reader = 'A' AND NOT skip"), sql.ALIGNED, sql.GOLD_SCORES)
 GOLD = (*PLAIN, sql.TRUTH, sql.GOLD, sql.ALIGNED, sql.GOLD_SCORES)
 
@@ -39,7 +40,7 @@ GOLD = (*PLAIN, sql.TRUTH, sql.GOLD, sql.ALIGNED, sql.GOLD_SCORES)
 def _rated(entries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pairs = align.readers(entries)
     found = align.candidates(entries, entries, ordered=True)
-    matched = align.align(found)
+    matched = saved(align.align(found), "matched")
     return pairs, matched, align.rates(entries, matched, pairs)
 
 
@@ -290,4 +291,4 @@ def row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.row_clusters(events.select(F.col("user_id").alias("page"), F.col("value").alias("vpos"), hpos.alias("hpos"), F.col("event_type").alias("content")))
 
 
-from parallax.plans import registry  # noqa: E402,F401  adds its queries to the catalogue
+from parallax.plans import desk, registry  # noqa: E402,F401  add their queries to the catalogue

@@ -65,11 +65,11 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 RECORDS = """records AS (SELECT p_partkey AS position, p_partkey % 7 <> 0 AND p_partkey % 8 <> 0 AS fits, CASE WHEN p_partkey % 3 = 0 THEN 'T' || p_partkey ELSE '978' || (p_partkey % 50) END AS key,
   CASE WHEN p_partkey % 17 <> 0 THEN p_name ELSE '' END AS title, CASE WHEN p_partkey % 10 <> 0 THEN ['de', 'en', 'fr', 'nl', 'pol', NULL][p_partkey % 6 + 1] END AS language,
   CASE WHEN p_partkey % 4 <> 0 THEN '10.2/' || p_partkey END AS doi, CASE WHEN p_partkey % 8 <> 0 AND p_partkey % 9 <> 0 THEN 'HTTPS://x.org/toc/' || p_partkey END AS toc_download_url,
-  'http://x.org/r/T' || p_partkey || '?format=json' AS lobid_url FROM part)"""
+  'http://x.org/r/T' || p_partkey || '?format=json' AS lobid_url, CASE WHEN p_partkey % 3 = 0 THEN 'T' || p_partkey ELSE '978' || (p_partkey % 50) END || '.pdf' AS filename, 'CC0-1.0' AS license, 'library' AS license_source FROM part)"""
 
 
 def _projected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select("position", records.matches(F.col("type"), F.col("tableOfContents")).alias("fits"), text.record_key(F.col("isbn"), F.col("id")).alias("key"), F.coalesce("title", F.lit("")).alias("title"), records.language(F.col("language")).alias("language"), "doi", records.toc_url(F.col("tableOfContents")).alias("toc_download_url"), records.api_url(F.col("id")).alias("lobid_url"))
+    return registry.manifest_entries(_records(spark, sf_dir), "CC0-1.0", "library", "position")
 
 
 @registered(f"WITH {RECORDS} SELECT * FROM records")
@@ -84,12 +84,8 @@ scanned AS (SELECT r.position, r.key, CASE WHEN NOT fits THEN 'no matching type/
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why a record of the dump is skipped, in the dump's order; the first of a key that has an address is taken."""
-    held = adapters.table(spark, sf_dir, "orders").select(F.concat(F.lit("T"), "o_orderkey").alias("key"), F.lit(True).alias("held"))
-    rows = _projected(spark, sf_dir).join(held, "key", "left")
-    usable = rows.where("fits and toc_download_url is not null and held is null").groupBy("key").agg(F.min("position").alias("first"))
-    known = F.coalesce("held", F.lit(False)) | F.coalesce(F.col("first") < F.col("position"), F.lit(False))
-    reason = F.when(~F.col("fits"), "no matching type/toc").when(known, "already acquired").when(F.col("toc_download_url").isNull(), "no toc url")
-    return rows.join(usable, "key", "left").select("position", "key", reason.alias("skipped"))
+    held = adapters.table(spark, sf_dir, "orders").select(F.concat(F.lit("T"), "o_orderkey").alias("key"))
+    return backlog.scan_reasons(_projected(spark, sf_dir), held)
 
 
 @registered(f"WITH {SCAN} SELECT * FROM scanned")
@@ -299,7 +295,10 @@ def skip_list_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.removed(orders.where("o_custkey % 20 = 0").select("key", "model"), orders.where("o_orderstatus = 'P'").select("key", "model"), ["key", "model"])
 
 
-@registered(sql.query(*CLOSE, select="SELECT key, 'bulk_gate' AS source, false AS verified, n_a + n_b - matched AS n_entries, n_skip FROM best JOIN (SELECT e.key, count_if(e.skip) AS n_skip FROM (SELECT key, ordinal, skip, 0 AS side FROM entries WHERE reader = 'A' UNION ALL SELECT e.key, e.ordinal, e.skip, 1 FROM entries e JOIN best b ON b.key = e.key WHERE e.reader = 'B' AND NOT EXISTS (SELECT 1 FROM matched m WHERE m.key = e.key AND m.j = e.ordinal)) e GROUP BY 1) USING (key)"))
+@registered(sql.query(*CLOSE, select="""SELECT b.key, 'bulk_gate' AS source, false AS verified, n_a + n_b - matched AS n_entries, n_skip FROM best b JOIN (
+  SELECT key, count_if(skip) AS n_skip FROM (
+    SELECT e.key, e.skip FROM entries e JOIN best USING (key) WHERE e.reader = 'A'
+    UNION ALL SELECT e.key, e.skip FROM entries e JOIN best USING (key) LEFT JOIN matched m ON m.key = e.key AND m.j = e.ordinal WHERE e.reader = 'B' AND m.key IS NULL) GROUP BY key) USING (key)"""))
 def truth_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the gate writes: one nested row for each document that passes."""
     from parallax.plans.catalogue import _merged

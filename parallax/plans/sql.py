@@ -52,12 +52,12 @@ scores AS (SELECT t.ta, t.tb, t.sa, t.sb, greatest({ratio('a.x', 'b.x')}, p.r) A
 ALIGNED = f"""met AS (SELECT a.key, a.reader AS side_a, b.reader AS side_b, a.ordinal AS i, b.ordinal AS j, a.title AS ta, b.title AS tb, a.strict AS sa, b.strict AS sb, a.page_at
   FROM left_side a JOIN right_side b ON a.key = b.key AND a.page_at = b.page_at AND (a.reader < b.reader OR a.fixed) AND a.reader <> b.reader),
 {scored('met')},
-cand AS (SELECT key, side_a, side_b, i, j, CASE WHEN page_at = '-' THEN strict ELSE score END AS score, strict >= 95 AS near FROM met JOIN scores USING (ta, tb, sa, sb) WHERE CASE WHEN page_at = '-' THEN strict >= 95 ELSE score >= 70 END),
+cand AS MATERIALIZED (SELECT key, side_a, side_b, i, j, CASE WHEN page_at = '-' THEN strict ELSE score END AS score, strict >= 95 AS near FROM met JOIN scores USING (ta, tb, sa, sb) WHERE CASE WHEN page_at = '-' THEN strict >= 95 ELSE score >= 70 END),
 steps AS (SELECT key, side_a, side_b, i, dense_rank() OVER (PARTITION BY key, side_a, side_b ORDER BY i) AS r FROM (SELECT DISTINCT key, side_a, side_b, i FROM cand)),
 walk AS (SELECT DISTINCT key, side_a, side_b, 0::BIGINT AS r, 0::BIGINT AS last, NULL::BIGINT AS i, NULL::BIGINT AS j, NULL::BOOLEAN AS near FROM cand
   UNION ALL SELECT w.key, w.side_a, w.side_b, w.r + 1, coalesce(b.j, w.last), s.i, b.j, b.near FROM walk w JOIN steps s ON s.key = w.key AND s.side_a = w.side_a AND s.side_b = w.side_b AND s.r = w.r + 1
   LEFT JOIN LATERAL (SELECT c.j, c.near FROM cand c WHERE c.key = w.key AND c.side_a = w.side_a AND c.side_b = w.side_b AND c.i = s.i AND c.j > w.last ORDER BY c.score DESC, c.j DESC LIMIT 1) b ON true),
-matched AS (SELECT key, side_a, side_b, i, j, near FROM walk WHERE j IS NOT NULL)"""
+matched AS MATERIALIZED (SELECT key, side_a, side_b, i, j, near FROM walk WHERE j IS NOT NULL)"""
 
 #: Reader B has the last word of a title, and the whole as its variant; met has a row for each pair of titles.
 WRAPPED = """wrapped AS (SELECT *, []::VARCHAR[] AS variants FROM readings WHERE reader = 'A'
@@ -75,7 +75,10 @@ rates AS (SELECT key, side_a, side_b, n_a, n_b, coalesce(matched, 0) AS matched,
 TRUTH = "truth AS (SELECT o_orderkey AS key, CASE o_orderstatus WHEN 'F' THEN 'agent_arbitration' WHEN 'O' THEN 'bulk_gate' END AS source FROM orders WHERE o_orderstatus IN ('F', 'O'))"
 
 GATE = """gated AS (SELECT *, rate >= 0.9 AND near AS passed FROM rates),
-best AS (SELECT * FROM gated WHERE passed QUALIFY row_number() OVER (PARTITION BY key ORDER BY rate DESC, side_a, side_b) = 1)"""
+best AS MATERIALIZED (SELECT * FROM gated WHERE passed QUALIFY row_number() OVER (PARTITION BY key ORDER BY rate DESC, side_a, side_b) = 1)"""
+
+#: What holds two readings that mostly agree against each other.
+CLOSE_PARTS = (READINGS, PERTURBED, entries("perturbed"), SIDES, ALIGNED, RATES, GATE)
 
 #: Reader A of arbitrated orders, page-sorted, is the truth that the other readers are held against.
 GOLD = """gold AS (SELECT e.* REPLACE (row_number() OVER (PARTITION BY key ORDER BY page IS NULL, coalesce(page_val, 0), coalesce(page, ''), ordinal) AS ordinal) FROM entries e WHERE reader = 'A' AND key IN (SELECT key FROM truth WHERE source = 'agent_arbitration')),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,11 +32,38 @@ def named(raw: DataFrame) -> DataFrame:
     return raw.select(F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 1).alias("key"), F.regexp_extract(name, r"^([^.]*)\.(.*)\.json$", 2).alias("reader"), F.coalesce("kind", F.lit("vision")).alias("kind"), "generated_at", "duration_seconds", "entries")
 
 
+def _is_stale() -> Column:
+    """Made by the gate before entries had a skip flag; what can't be read isn't."""
+    return F.coalesce((F.col("source") == "bulk_gate") & (F.size("entries") > 0) & F.exists("entries", lambda e: e["skip"].isNull()), F.lit(False))
+
+
 def truth(spark: SparkSession, folder: str) -> DataFrame:
-    """Files <key>.expected.json. stale: made by the gate before entries had a skip flag."""
-    raw = spark.read.schema(TRUTH).option("multiLine", True).json(f"{folder}/*.expected.json")
-    stale = (F.col("source") == "bulk_gate") & (F.size("entries") > 0) & F.exists("entries", lambda e: e["skip"].isNull())
-    return raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.expected\.json$", 1).alias("key"), "verified", "source", "entries", stale.alias("stale"))
+    """Files <key>.expected.json. stale: see _is_stale(); readable: whether the file holds JSON of the schema."""
+    raw = spark.read.schema(f"{TRUTH}, _corrupt STRING").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(f"{folder}/*.expected.json")
+    key = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.expected\.json$", 1)
+    return raw.select(key.alias("key"), "verified", "source", "entries", _is_stale().alias("stale"), F.col("_corrupt").isNull().alias("readable"))
+
+
+def truth_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same from lines `key<tab>JSON`, many to a file; a line that can't be read keeps its key."""
+    parts = F.split("value", "\t", 2)
+    raw = spark.read.text(path).select(F.get(parts, 0).alias("key"), F.from_json(F.get(parts, 1), f"{TRUTH}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("t"))
+    flat = raw.select("key", "t.verified", "t.source", "t.entries", F.col("t._corrupt").alias("_corrupt"))
+    return flat.select("key", "verified", "source", "entries", _is_stale().alias("stale"), F.col("_corrupt").isNull().alias("readable"))
+
+
+def corpora(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders under root that hold a manifest.json, in order; none if there is no root."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/manifest.json")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(f.getPath().getParent().getName() for f in found)
+
+
+def corpus(spark: SparkSession, root: str, name: str, create: bool = False) -> str:
+    """The folder of a corpus. One without a manifest is an error that tells which there are, unless it is to be made."""
+    if not create and name not in (known := corpora(spark, root)):
+        raise ValueError(f"no corpus named {name!r} under {root}; available: {', '.join(known) or 'none'}")
+    return f"{root}/{name}"
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
