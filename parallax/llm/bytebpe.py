@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, worker_cache
+from parallax.llm.common import slices, text_of, trimmed, worker_cache
 
 IRREGULAR = re.compile(r"\s \S?| \s")  # white space beside a space: such a text isn't cut at spaces
 MOST_CACHED_CHARS = 8_000_000
@@ -172,13 +172,14 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     pass through; an empty table gives no rows; other columns are not read.
     """
 
+    @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(ranks, pattern)
         for batch in slices(batches, "text"):
             ids = [own.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary()), pa.array([own.decode(i) for i in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, "doc_id long, ids binary, decoded binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(rows, "doc_id long, ids binary, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

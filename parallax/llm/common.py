@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -114,6 +114,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(a, b - a)
 
 
+def text_of(column: str) -> Column:
+    """A column's text as the operators take it: bytes that aren't UTF-8 become U+FFFD."""
+    return F.make_valid_utf8(F.col(column).cast("string"))
+
+
+def strings(column: pa.Array) -> list[str | None]:
+    """The same for a column of a batch whose rows go on as they are."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if b is None else b.decode("utf-8", "replace") for b in column.cast(pa.binary()).to_pylist()]
+
+
 def table_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

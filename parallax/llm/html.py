@@ -5,13 +5,14 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, trimmed
+from parallax.llm.common import slices, text_of, trimmed
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -37,15 +38,15 @@ ARTICLE = {"content", "article", "post", "entry", "story", "main", "body", "text
 class _Open:
     """An element that is open while a page is read."""
 
-    __slots__ = ("tag", "path", "out", "container", "article", "link", "chain")
+    __slots__ = ("tag", "path", "out", "container", "article", "link", "number")
 
-    def __init__(self, tag: str, above: _Open | None, out: bool, number: int):
+    def __init__(self, tag: str, above: _Open | None, out: bool, number: int, path: int):
         self.tag = tag
-        self.path = f"{above.path}/{tag}" if above else tag
+        self.path = path
         self.out = out or (above is not None and above.out)
         self.article = tag in ("article", "main") or (above is not None and above.article)
         self.container = number if tag in CONTAINERS and not (above and above.article) else above.container if above else 0
-        self.chain = (above.chain if above else ()) + (number,)
+        self.number = number
         self.link = tag == "a" or (above is not None and above.link and tag in INLINE)
 
 
@@ -67,11 +68,38 @@ def _marked_out(tag: str, attributes: str, inside_article: bool) -> bool:
     return bool(words & ALWAYS_OUT) or bool(words & OFTEN_OUT and not words & ARTICLE and not inside_article)
 
 
-def blocks(page: str) -> list[list]:
-    """The page's text blocks in order: [path, container, in an article, text, characters in links, numbers of its elements]."""
-    root = _Open("", None, False, 0)
+class Blocks(list):
+    """A page's text blocks in order: [path, container, in an article, text, characters in links, element].
+
+    Elements are numbered in the order in which they begin, paths in that in which they come up. above: the element
+    around each element; so what a page needs grows with its length, however deep its elements lie.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.above = [0]
+        self.steps: list[tuple[int, str]] = [(0, "")]  # of each path: the one it goes on from, and the tag
+
+    def path(self, number: int) -> str:
+        tags = []
+        while number:
+            number, tag = self.steps[number]
+            tags.append(tag)
+        return "".join(f"/{t}" for t in reversed(tags))
+
+    def ends(self) -> list[int]:
+        """The last element inside each element: those inside are numbered without a gap."""
+        ends = list(range(len(self.above)))
+        for k in range(len(ends) - 1, 0, -1):
+            ends[self.above[k]] = max(ends[self.above[k]], ends[k])
+        return ends
+
+
+def blocks(page: str) -> Blocks:
+    root = _Open("", None, False, 0, 0)
     stack = [root]
-    out: list[list] = []
+    out = Blocks()
+    paths: dict[tuple[int, str], int] = {}
     parts: list[str] = []
     links = 0
     number = 0
@@ -87,7 +115,7 @@ def blocks(page: str) -> list[list]:
                 while at.tag in INLINE:
                     k -= 1
                     at = stack[k]
-                out.append([at.path, at.container, at.article, text, links, at.chain])
+                out.append([at.path, at.container, at.article, text, links, at.number])
         links = 0
 
     def add(text: str) -> None:
@@ -140,7 +168,11 @@ def blocks(page: str) -> list[list]:
                     break
             del stack[cut:]
         number += 1
-        stack.append(_Open(tag, stack[-1], _marked_out(tag, m[3], stack[-1].article), number))
+        path = paths.setdefault(step := (stack[-1].path, tag), len(out.steps))
+        if path == len(out.steps):
+            out.steps.append(step)
+        out.above.append(stack[-1].number)
+        stack.append(_Open(tag, stack[-1], _marked_out(tag, m[3], stack[-1].article), number, path))
         if m[3].endswith("/") and tag in INLINE:
             stack.pop()
         elif tag in RAW:
@@ -151,7 +183,7 @@ def blocks(page: str) -> list[list]:
     return out
 
 
-def content(found: list[list], share: float = 0.15) -> list[str]:
+def content(found: Blocks, share: float = 0.15) -> list[str]:
     """Texts of the blocks whose paths are content.
 
     For each root-to-leaf path: characters outside links and punctuation marks to a block. The path's ratio is the
@@ -193,36 +225,41 @@ def _linked(part: list[list]) -> bool:
     return 2 * sum(b[4] for b in part) > sum(len(b[3]) for b in part)
 
 
-def _subtree(found: list[list], high: set[int]) -> list[bool]:
+def _subtree(found: Blocks, high: set[int]) -> list[bool]:
     """Which blocks lie below the lowest common ancestor of the high containers' blocks.
 
     The ancestor moves up as long as what that adds isn't a navigation. An article is a text of its own: it ends the
     way up, and so it goes below the ancestor unless its ratio is high. There, containers of links go as well.
     """
-    chains = [b[5] for b in found if b[1] in high and not b[2]]
-    at = 0
-    while all(len(c) > at and c[at] == chains[0][at] for c in chains):
-        at += 1
-    at -= 1
-    inside = lambda k: [len(b[5]) > k and b[5][k] == chains[0][k] for b in found]
-    now = inside(at)
-    while at:
-        above = inside(at - 1)
-        added = [b for b, i, a in zip(found, now, above) if a and not i]
-        if added and (_linked(added) or any(b[2] for b in added)):
+    ends = found.ends()
+    own = [b[5] for b in found if b[1] in high and not b[2]]
+    node = min(own)
+    while ends[node] < max(own):
+        node = found.above[node]
+    order = sorted(range(len(found)), key=lambda i: found[i][5])
+    numbers = [found[i][5] for i in order]
+    within = lambda k: (bisect_left(numbers, k), bisect_right(numbers, ends[k]))
+    lo, hi = within(node)
+    while node:
+        a, b = within(found.above[node])
+        added = [found[i] for i in (*order[a:lo], *order[hi:b])]
+        if added and (_linked(added) or any(x[2] for x in added)):
             break
-        at, now = at - 1, above
+        node, lo, hi = found.above[node], a, b
+    inside = set(order[lo:hi])
     groups: dict[int, list[list]] = {}
     for b in found:
         groups.setdefault(b[1], []).append(b)
     out = {c for c, part in groups.items() if c not in high and (part[0][2] or _linked(part))}
-    return [b[1] in high or (i and b[1] not in out) for b, i in zip(found, now)]
+    return [b[1] in high or (i in inside and b[1] not in out) for i, b in enumerate(found)]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every page; text is empty if there is none, or html is null.
 
-    No shuffle. Repeated and null ids pass through; an empty table gives no rows; other columns are not read.
+    No shuffle. Repeated and null ids pass through; an empty table gives no rows; other columns are not read. Pages may
+    be of any length and nest to any depth; of containers of equal ratios the first is taken as best. Bytes that aren't
+    UTF-8 become U+FFFD.
     """
 
     @trimmed
@@ -231,5 +268,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts = ["\n\n".join(content(blocks(h or ""))) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html"))
     return source.mapInArrow(rows, "page_id long, url string, text string, n_chars long")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, components, partitions, runs, slices, sorted_groups, table_of, trimmed, worker_cache
+from parallax.llm.common import Scratch, components, partitions, runs, slices, sorted_groups, table_of, text_of, trimmed, worker_cache
 
 WORDS = 5
 LONG = 16  # documents from which a shingle's list counts as long
@@ -571,7 +571,7 @@ def one_of_each(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
     classes = members.where("key is not null").groupBy("key").agg(F.min(place).alias("one"))
     kept = classes.join(named, "key").groupBy("component").agg(F.min("one").alias("one"))
     kept = kept.select(F.coalesce("one.doc_id", F.lit(0)).alias("_id"), F.col("one.none").alias("_none"), F.col("one.text_hash").alias("_hash"))
-    text = F.col(text_col).cast("string")
+    text = text_of(text_col)
     # only three short columns are shuffled with each text, and what is equal in all of them is one row
     known = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "_none": F.col(id_col).isNull(), "_hash": F.xxhash64(text)})
     has_words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
@@ -581,7 +581,7 @@ def one_of_each(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
 
 def _named(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, key, n_shingles of every row; component and component_id of every key)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     @trimmed
     def of_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

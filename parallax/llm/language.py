@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, trimmed, worker_cache
+from parallax.llm.common import slices, strings, text_of, trimmed, worker_cache
 
 LETTERS = regex.compile(r"\p{L}+")
 LEAD = "▁"  # the vocabulary's sign for the start of a word
@@ -33,7 +33,7 @@ def sample(docs: DataFrame, train, per_lang: int, id_col: str, text_col: str, la
     for share in (F.pmod("h", F.lit(64)), F.lit(0)):
         rank = F.row_number().over(W.partitionBy("lang", share).orderBy("h", "id"))
         ids = ids.withColumn("rank", rank).where(F.col("rank") <= per_lang).select("id", "lang", "h")
-    texts = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    texts = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
     return texts.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
@@ -49,11 +49,11 @@ class Model:
         self.longest = max(map(len, table), default=1)
 
 
-def fit(rows: Iterable[tuple[str, str]], vocabulary: str, rounds: int = 2, smooth: float = 0.5, most_words: int = 20_000) -> Model:
-    """Learns from (lang, text) rows; of each language's words, the most_words commonest count.
+def fit(rows: Iterable[tuple[str, str]], vocabulary: str, rounds: int = 2, smooth: float = 0.5) -> Model:
+    """Learns from (lang, text) rows; all their words count.
 
-    The first counts are those of the vocabulary's own segmentation of the commonest words; each round replaces them
-    by the counts expected over all segmentations (forward and backward sums).
+    The first counts are those of the vocabulary's own segmentation of the words; each round replaces them by the counts
+    expected over all segmentations (forward and backward sums).
     """
     import sentencepiece
 
@@ -68,17 +68,13 @@ def fit(rows: Iterable[tuple[str, str]], vocabulary: str, rounds: int = 2, smoot
     shares = np.zeros((len(table) + 1, len(langs)))
     lengths = np.array([len(p) for p in table] + [1])
     for k, lang in enumerate(langs):
-        common = words[lang].most_common(most_words)
+        own, times = list(words[lang]), np.array(list(words[lang].values()), float)
         counts = np.zeros(len(table) + 1)
-        for (word, n), cut in zip(common, pieces.encode([w for w, _ in common], out_type=str, num_threads=1)):
+        for n, cut in zip(times, pieces.encode(own, out_type=str, num_threads=1)):
             for p in cut:
                 counts[table.get(p, len(table))] += n
         for _ in range(rounds):
-            own = _smoothed(counts, smooth)
-            counts = np.zeros_like(counts)
-            scaled = own * SCALE**lengths
-            for word, n in common:
-                _expect(LEAD + word, n, scaled, table, counts)
+            counts = expected(own, times, _smoothed(counts, smooth) * SCALE**lengths, table)
         shares[:, k] = _smoothed(counts, smooth) * SCALE**lengths
     return Model(langs, table, shares)
 
@@ -87,24 +83,58 @@ def _smoothed(counts: np.ndarray, smooth: float) -> np.ndarray:
     return (counts + smooth) / (counts.sum() + smooth * len(counts))
 
 
-def _expect(word: str, n: int, own: np.ndarray, table: dict[str, int], counts: np.ndarray, longest: int = 16) -> None:
-    """Adds n times the expected number of each piece in the word; own holds shares times SCALE to the piece's length.
+def expected(words: list[str], times: np.ndarray, scaled: np.ndarray, table: dict[str, int]) -> np.ndarray:
+    """How often each piece is expected in the words (each so many times), over all their segmentations.
 
-    A word so long that its sum leaves the range of doubles, of many hundreds of letters, adds nothing.
+    scaled holds shares times SCALE to the piece's length. Words of one length go together; those longer than LONG one
+    by one, with logarithms, so that their sums stay in range.
     """
+    counts = np.zeros(len(table) + 1)
+    longest = max(map(len, table), default=1)
+    by_size: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        by_size.setdefault(len(w) + 1, []).append(k)
+    for size, group in by_size.items():
+        if size > LONG:
+            for k in group:
+                _expect_long(LEAD + words[k], times[k], np.log(scaled), table, counts, longest)
+            continue
+        for lo in range(0, len(group), 10_000):
+            part = group[lo : lo + 10_000]
+            marked = [LEAD + words[k] for k in part]
+            spans = []
+            for i in range(size):
+                for j in range(i + 1, min(size, i + longest) + 1):
+                    rows = np.array([table.get(w[i:j], -1) for w in marked])
+                    if j == i + 1:
+                        rows[rows < 0] = len(table)
+                    if (has := np.flatnonzero(rows >= 0)).size:
+                        spans.append((i, j, has, rows[has]))
+            before, after = np.zeros((size + 1, len(part))), np.zeros((size + 1, len(part)))
+            before[0] = after[size] = 1.0
+            for i, j, has, rows in spans:
+                before[j, has] += before[i, has] * scaled[rows]
+            for i, j, has, rows in reversed(spans):
+                after[i, has] += scaled[rows] * after[j, has]
+            each = times[part] / before[size]
+            for i, j, has, rows in spans:
+                counts += np.bincount(rows, each[has] * before[i, has] * scaled[rows] * after[j, has], len(counts))
+    return counts
+
+
+def _expect_long(word: str, n: float, logs: np.ndarray, table: dict[str, int], counts: np.ndarray, longest: int) -> None:
     size = len(word)
-    spans = []
-    for i in range(size):
-        found = [(i, j, table[word[i:j]]) for j in range(i + 1, min(size, i + longest) + 1) if word[i:j] in table]
-        spans += found if any(j == i + 1 for _, j, _ in found) else [*found, (i, i + 1, len(table))]
-    before, after = [1.0] + [0.0] * size, [0.0] * size + [1.0]
+    spans = [(i, j, table.get(word[i:j], len(table) if j == i + 1 else -1)) for i in range(size) for j in range(i + 1, min(size, i + longest) + 1)]
+    spans = [s for s in spans if s[2] >= 0]
+    before, after = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
+    before[0] = after[size] = 0.0
+    both = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b)
     for i, j, p in spans:
-        before[j] += before[i] * own[p]
+        before[j] = both(before[j], before[i] + logs[p])
     for i, j, p in reversed(spans):
-        after[i] += own[p] * after[j]
-    if 0 < before[size] < math.inf and after[0] < math.inf:
-        for i, j, p in spans:
-            counts[p] += n * before[i] * own[p] * after[j] / before[size]
+        after[i] = both(after[i], after[j] + logs[p])
+    for i, j, p in spans:
+        counts[p] += n * math.exp(before[i] + logs[p] + after[j] - before[size])
 
 
 class Scorer:
@@ -196,10 +226,10 @@ def predict(docs: DataFrame, model: Model, evidence: int = 10, id_col: str = "do
     @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            best, score = decide(batch.column("text").to_pylist())
+            best, score = decide(strings(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
 
 
 def _decisions(docs: DataFrame, model: Model, evidence: int):
@@ -236,7 +266,7 @@ def known(docs: DataFrame, model: Model, least: float = 0.5, evidence: int = 10,
     @trimmed
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            best, score = decide(batch.column(text_col).to_pylist())
+            best, score = decide(strings(batch.column(text_col)))
             yield batch.filter(pa.array([b != "und" and s >= least for b, s in zip(best, score)], pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import partitions
+from parallax.llm.common import partitions, text_of
 
 GRAM = 8  # code points
 BINS = 64  # tuples of a fingerprint: 6 bits
@@ -139,7 +139,7 @@ def with_next(docs: DataFrame, columns: dict[str, Callable[[], Column]], id_col:
     any order. Documents are dealt by id to buckets of about equal numbers of rows; an id that fills several buckets is dealt
     over these by the hash. Each bucket gets a copy of the next one's first row, so only a bucket is sorted at once.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = F.coalesce(text_of(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     number = F.coalesce("doc_id", F.lit(NO_ID))
     n = 4 * partitions(docs.sparkSession)

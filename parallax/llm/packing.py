@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, table_of, trimmed
+from parallax.llm.common import slices, table_of, text_of, trimmed
 from parallax.llm.vocab import encoder
 
 TEXT = 8 << 20  # bytes of text that a task encodes at once
@@ -131,4 +131,4 @@ def pack(
         if rows:
             yield table_of(ARROW, **dict(zip(ARROW.names, zip(*rows))))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tasks, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(tasks, SCHEMA)

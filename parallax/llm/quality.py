@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import slices, trimmed
+from parallax.llm.common import slices, text_of, trimmed
 
 #: Terms: 9^3 triples of character classes, 512 hashed byte pairs, and 32 marks of repetition.
 CLASSES, PAIRS, MARKS = 9, 512, 32
@@ -116,7 +116,7 @@ def learn(docs: DataFrame, labels: DataFrame, train, most: int = 4096, id_col: s
     Of repeated ids the larger label and the first text in order count.
     """
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
     return fit([(r["_text"], r["_y"]) for r in sorted(rows.collect(), key=lambda r: r["_id"])])
 
 
@@ -139,4 +139,4 @@ def score(docs: DataFrame, space: Space, k: int = 15, power: float = 4.0, id_col
                 scores[lo : lo + BLOCK] = held.value.score(held.value.place(counts), k, power)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(rows, "doc_id long, score double")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.llm import bytebpe, html, jaccard, language, ordermin, packing, quality, ranked, rules, sql, store, suffixes, turns, vectors
+from parallax.llm import bytebpe, html, jaccard, language, ordermin, packing, pipeline, quality, ranked, rules, sql, store, suffixes, turns, vectors
 from parallax.llm.common import Scratch, fold
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,12 +78,6 @@ def op13_ordermin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.fingerprints(documents(spark, sf_dir))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline  # at the repository's top; it imports this module
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -99,7 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_search": op11_search,
         "op12_turns": op12_turns,
         "op13_ordermin": op13_ordermin,
-        "pipeline": pipeline,
+        "pipeline": pipeline.run,
     }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, partitions, slices, table_of, trimmed
+from parallax.llm.common import Scratch, partitions, slices, table_of, text_of, trimmed
 from parallax.llm.vocab import encoder
 
 LEAST, MASK, MOST = 64, 255, 2048  # of a chunk's ids; a cut wherever the rolling hash's low 8 bits are 0
@@ -183,7 +183,7 @@ def write(docs: DataFrame, vocabulary: str, scratch: Scratch, end_id: int = 1, i
                 last = digest if kind == "chunk" else None
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(stage, STAGED)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(stage, STAGED)
     deal = F.when(F.col("kind") == "chunk", F.xxhash64("digest")).otherwise(F.xxhash64("doc_id", "digest"))
     staged = rows.repartition(n, deal).sortWithinPartitions("kind", "digest").mapInArrow(once, STAGED)
     staged = scratch.save(staged, "staged", by="kind", schema=STAGED)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parallax.llm.common import Scratch, partitions, trimmed
+from parallax.llm.common import Scratch, partitions, text_of, trimmed
 
 DELETE, REROLE, INSERT, TRUNCATED = 2, 1, 5, 5  # costs
 ROLES = "sua"  # initials that can be kept, each with its number; any other initial has number 3
@@ -153,7 +153,7 @@ def faults(rows: DataFrame) -> DataFrame:
 
 def _plain(rows: DataFrame) -> DataFrame:
     """The four columns; null roles and texts become one space."""
-    one = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c)
+    one = lambda c: F.coalesce(text_of(c), F.lit(" ")).alias(c)
     return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), one("role"), one("text"))
 
 

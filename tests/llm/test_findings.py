@@ -96,8 +96,8 @@ def test_end_tags_may_be_left_out():
     assert text("<head><meta charset=x><style>p {}</style><p>One, two.<p>Three.") == ["One, two.", "Three."]
     assert text("<head><title>t</title>Bare text, here.") == ["Bare text, here."]
     assert text("<head><script>1</script><template><p>no</p></template></head><p>One, two.") == ["One, two."]
-    paths = [b[0] for b in html.blocks("<table><thead><tr><th>a<th>b<tbody><tr><td>c<td>d<tr><td>e</table>")]
-    assert paths == ["/table/thead/tr/th"] * 2 + ["/table/tbody/tr/td"] * 3
+    found = html.blocks("<table><thead><tr><th>a<th>b<tbody><tr><td>c<td>d<tr><td>e</table>")
+    assert [found.path(b[0]) for b in found] == ["/table/thead/tr/th"] * 2 + ["/table/tbody/tr/td"] * 3
 
 
 def test_main_text_without_or_beside_an_article():
