@@ -10,17 +10,26 @@ from pyspark.sql.types import DoubleType
 MATCH, NEAR = 70.0, 95.0
 
 
-def common(a: str, b: str) -> int:
-    """Length of the longest common subsequence: one bit for each character of a, a step for each of b."""
+def _masks(a: str) -> dict[str, int]:
+    """For each character a bit at each of its places."""
     masks: dict[str, int] = {}
     for i, c in enumerate(a):
         masks[c] = masks.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def _common(masks: dict[str, int], n: int, b: str) -> int:
+    full = (1 << n) - 1
     state = full
     for c in b:
         hit = state & masks.get(c, 0)
         state = (state + hit | state - hit) & full
-    return len(a) - state.bit_count()
+    return n - state.bit_count()
+
+
+def common(a: str, b: str) -> int:
+    """Length of the longest common subsequence: one bit for each character of a, a step for each of b."""
+    return _common(_masks(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -33,11 +42,28 @@ def partial_ratio(a: str, b: str) -> float:
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
-    n = len(a)
-    parts = {b[max(0, i) : i + n] for i in range(1 - n, len(b))}
-    best = max(ratio(a, p) for p in parts)
-    if len(b) == n and best < 100.0:
-        best = max(best, *(ratio(b, a[max(0, i) : i + n]) for i in range(1 - n, n)))
+    best = _best_part(a, b, 0.0)
+    return _best_part(b, a, best) if len(b) == len(a) and best < 100.0 else best
+
+
+def _best_part(a: str, b: str, best: float) -> float:
+    """Goes through the windows of b in one sweep. A window that lies d places on has no more than d characters in
+    common in addition, and a shorter end no more than a longer one: parts that can't be better are passed over."""
+    n, masks = len(a), _masks(a)
+    i = 0
+    while i + n <= len(b):
+        hits = _common(masks, n, b[i : i + n])
+        best = max(best, 200 * hits / (2 * n))
+        i += max(1, int(best * n / 100 - hits))
+    for end in (lambda k: b[:k], lambda k: b[-k:]):
+        k, hits = n - 1, n
+        while k > 0:
+            if best < 200 * min(k, hits) / (n + k):
+                hits = _common(masks, n, end(k))
+                best = max(best, 200 * hits / (n + k))
+            elif k <= hits:
+                break  # still shorter ones are bounded by their length
+            k = min(k - 1, int(200 * hits / best - n)) if best else k - 1
     return best
 
 

@@ -84,3 +84,15 @@ def test_records(spark):
     assert one(records.answer_entries(F.lit("[{"))) is None and one(records.answer_entries(F.lit("none"))) is None
     got = one(records.answer_entries(F.lit('```\n[{"title": 1234, "skip": "false", "printed_page_number": 7.0}, {"title": null}, [1]]\n```')))
     assert [tuple(r) for r in got] == [("1234", [], "7", True)]
+
+
+def test_partial_ratio_passes_over_no_better_part():
+    draw = random.Random(8)
+    for _ in range(3_000):
+        letters = draw.choice(["ab", "abcdef ", "aß日 "])
+        a, b = ("".join(draw.choice(letters) for _ in range(draw.randint(0, n))) for n in (9, 22))
+        b = b[:5] + a + b[5:] if draw.random() < 0.2 else b
+        short, long = sorted((a, b), key=len)
+        ways = [(short, long)] + [(long, short)] * (len(a) == len(b))
+        parts = [similarity.ratio(x, y[max(0, i) : i + len(x)]) for x, y in ways for i in range(1 - len(x), len(y))]
+        assert similarity.partial_ratio(a, b) == (max(parts) if short else 100.0 * (not long)), (a, b)
