@@ -25,6 +25,13 @@ def macro(evaluated: DataFrame, by: str) -> DataFrame:
     return evaluated.groupBy(by).agg(F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.count("*").alias("n_books"))
 
 
+def overall(evaluated: DataFrame) -> DataFrame:
+    """One row of means over all documents, 0 where there is none, as a report shows them; mean_f1 is null there, as a
+    bound is held against it."""
+    shown = (F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1"))
+    return evaluated.agg(*shown, F.avg("f1").alias("mean_f1"), F.count("*").alias("n_books"))
+
+
 def rank_pairs(agreement: DataFrame, accuracy: DataFrame) -> DataFrame:
     """Reader pairs by the weaker one's F1 less the agreement beyond chance; unscored() has the pairs without both F1."""
     a = accuracy.select(F.col("model").alias("model_a"), F.col("f1").alias("f1_a"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.operators import backlog, cache, nearby, report, sampling
+from parallax.operators import backlog, cache, metrics, nearby, report, sampling
 from parallax.plans import registry as records_plan
 from parallax.plans import sql
 from parallax.plans.catalogue import _merged, registered, six
@@ -179,3 +179,23 @@ def truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     backlog.write_batch(stored, folder, 1, "source")
     held = backlog.newest(spark, folder, stored.select("key", "verified", "entries", "source").schema, ["key"])
     return held.select("key", F.posexplode("entries").alias("pos", "e")).select("key", (F.col("pos") + 1).alias("place"), "e.title", F.col("e.printed_page_number").alias("page"), "e.skip")
+
+
+@registered(f"WITH {SCAN} SELECT r.key, filename, title, language, doi, toc_download_url, license, license_source, lobid_url FROM records r JOIN scanned s USING (position) WHERE skipped IS NULL")
+def manifest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest that the taken records of two deliveries are appended to, each with its full entry."""
+    rows = records_plan._projected(spark, sf_dir)
+    half = (rows.agg(F.max("position")).first()[0] or 0) // 2
+    held = adapters.table(spark, sf_dir, "orders").select(F.concat(F.lit("T"), "o_orderkey").alias("key"))
+    names = ["key", "filename", "title", "language", "doi", "toc_download_url", "license", "license_source", "lobid_url"]
+    manifest = rows.select(*names).limit(0)
+    for part in (rows.where(F.col("position") <= half), rows.where(F.col("position") > half)):
+        taken = backlog.scan_reasons(part, held.union(manifest.select("key"))).where("skipped is null")
+        manifest = backlog.inserted(manifest, part.join(taken.select("position"), "position", "left_semi").select(*names), ["key"])
+    return manifest
+
+
+@registered(sql.query(*WITH_TRUTH, select="SELECT round(coalesce(avg(precision), 0), 6) AS precision, round(coalesce(avg(recall), 0), 6) AS recall, round(coalesce(avg(f1), 0), 6) AS f1, round(avg(f1), 6) AS mean_f1, count(*) AS n_books FROM evaluated"))
+def overall_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The means of all documents that truth and registry cover."""
+    return metrics.overall(records_plan._evaluated(spark, sf_dir, "A")).select(six("precision"), six("recall"), six("f1"), six("mean_f1"), "n_books")

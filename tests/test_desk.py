@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parallax.functions import similarity
-from parallax.operators import align, backlog, cache, layout, nearby, report, sampling
+from parallax.operators import align, backlog, cache, layout, metrics, nearby, report, sampling
 from parallax.sources import files
 from parallax.streaming import scan
 
@@ -169,3 +169,8 @@ def test_batches_replace_and_skip_what_is_empty(spark, tmp_path):
     assert got == [("a", ["z", "z"], "A"), ("c", ["y"], "B")]
     todo = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "place int, key string")
     assert [r["key"] for r in backlog.first_todo(todo, "place", 2, todo.where("key <> 'a'")).collect()] == ["b"]
+
+
+def test_means_of_nothing(spark):
+    none = spark.createDataFrame([], "key long, precision double, recall double, f1 double")
+    assert tuple(metrics.overall(none).first()) == (0.0, 0.0, 0.0, None, 0)
