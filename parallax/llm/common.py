@@ -36,6 +36,7 @@ class Scratch:
                 raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = tempfile.mkdtemp(prefix="spark-")  # one machine, as in tests
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
         atexit.register(self.clear)
 
     def save(self, df: DataFrame, name: str, by: str | None = None, schema: str | None = None, small: bool = False) -> DataFrame:
@@ -50,6 +51,13 @@ class Scratch:
             free(self.spark)
         return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(path)
 
+    def save_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Writes df dealt and sorted by a key: joins on it read the table where it lies, and shuffle the other side only."""
+        self.tables.append(f"scratch_{uuid.uuid4().hex}")
+        df.write.option("path", f"{self.root}/{name}").bucketBy(partitions(self.spark), key).sortBy(key).saveAsTable(self.tables[-1])
+        free(self.spark)
+        return self.spark.table(self.tables[-1])
+
     def drop(self, name: str = "") -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
@@ -57,6 +65,8 @@ class Scratch:
 
     def clear(self) -> None:
         try:
+            for table in self.tables:
+                self.spark.sql(f"drop table if exists {table}")
             self.drop()
         except Exception:  # noqa: BLE001  the session may have ended before
             pass

@@ -228,7 +228,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
 
     dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token", "block").sortWithinPartitions("token", "block", "size", "key")
     lists = scratch.save(dealt.mapInArrow(shared, POSTING), "lists")
-    held_sets = scratch.save(_sets(rows, members, lists), "sets")
+    held_sets = scratch.save_by(_sets(rows, members, lists), "sets", "key")
     found = spark.createDataFrame([], "node long, component long")
     tested = spark.createDataFrame([], "a long, b long")
     for k in range(ORDERS):
@@ -413,7 +413,10 @@ def _sets(rows: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def _verified(held_sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that do link. A query's set comes before those of its partners, which are indexed by blocks."""
+    """The pairs that do link. A query's set comes before those of its partners, which are indexed by blocks.
+
+    The sets lie dealt by key, so that only keys are shuffled to find them, and sets that have a partner to meet it.
+    """
     sets_ = held_sets.select("key", "tokens")
     of_b = pairs.join(sets_, pairs["b"] == sets_["key"]).select("a", F.lit(1).alias("role"), "b", "tokens")
     queries = pairs.select("a").distinct()
