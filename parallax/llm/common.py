@@ -51,10 +51,10 @@ class Scratch:
             free(self.spark)
         return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(path)
 
-    def save_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
+    def save_by(self, df: DataFrame, key: str) -> DataFrame:
         """Writes df dealt and sorted by a key: joins on it read the table where it lies, and shuffle the other side only."""
         self.tables.append(f"scratch_{uuid.uuid4().hex}")
-        df.write.option("path", f"{self.root}/{name}").bucketBy(partitions(self.spark), key).sortBy(key).saveAsTable(self.tables[-1])
+        df.write.option("path", f"{self.root}/{self.tables[-1]}").bucketBy(partitions(self.spark), key).sortBy(key).saveAsTable(self.tables[-1])
         free(self.spark)
         return self.spark.table(self.tables[-1])
 

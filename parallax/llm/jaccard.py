@@ -228,7 +228,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
 
     dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token", "block").sortWithinPartitions("token", "block", "size", "key")
     lists = scratch.save(dealt.mapInArrow(shared, POSTING), "lists")
-    held_sets = scratch.save_by(_sets(rows, members, lists), "sets", "key")
+    held_sets = scratch.save_by(_sets(rows, members, lists), "key")
     found = spark.createDataFrame([], "node long, component long")
     tested = spark.createDataFrame([], "a long, b long")
     for k in range(ORDERS):
