@@ -5,7 +5,7 @@ import re
 
 import corpus_pipeline
 import pytest
-from parallax.llm import jaccard, language, packing, queries, rules
+from parallax.llm import jaccard, language, packing, pipeline, queries, rules
 from parallax.llm.common import Scratch, fold
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row string, data string"
@@ -86,17 +86,17 @@ def test_stages(spark):
     model = language.learn(docs, fold("doc_id", 4) != 2, queries.PIECES)
     texts = [r["text"] for r in docs.select("text").distinct().collect()]
     said = {texts[r["doc_id"]]: (r["lang_pred"], r["score"]) for r in language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
-    first = corpus_pipeline.by_language(spark, docs, "")
+    first = pipeline.by_language(spark, docs, "")
     assert first.columns == docs.columns and as_rows(first) == [r for r in as_rows(docs) if said[r[1]][0] != "und" and said[r[1]][1] >= 0.5]
 
     verdicts = rules.judge(docs, Scratch(spark, "v"), id_col="text").selectExpr("doc_id as text", "lang", "source", "kept").collect()
     kept = {(r["text"], r["lang"], r["source"]) for r in verdicts if r["kept"]}
-    second = corpus_pipeline.by_rules(spark, docs, "")
+    second = pipeline.by_rules(spark, docs, "")
     assert as_rows(second) == [r for r in as_rows(docs) if (r[1], r[2], r[3]) in kept]
     ids = [r["doc_id"] for r in second.collect()]
     assert all(r["text"] != bad for r in second.collect()) and ids.count(8_000) == 2
 
-    third = as_rows(corpus_pipeline.one_of_each(spark, docs, ""))
+    third = as_rows(pipeline.one_of_each(spark, docs, ""))
     before = as_rows(docs)
     group = grouped([shingles(r[1]) for r in before])
     want = []
@@ -106,7 +106,7 @@ def test_stages(spark):
     assert sorted((r[0] is None, r[0] or 0) for r in third) == sorted(want) and set(third) <= set(before)
 
     docs3 = spark.createDataFrame(third, SCHEMA)
-    cut = as_rows(corpus_pipeline.without_repeats(spark, docs3, ""))
+    cut = as_rows(pipeline.without_repeats(spark, docs3, ""))
     seen, left = set(), []
     for r in sorted(third, key=lambda r: (r[0] is not None, r[0] or 0)):
         b = (r[1] or "").encode()
