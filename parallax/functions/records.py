@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from parallax.functions.pages import normalize_page
 from parallax.functions.text import array_span, first_page, without_fence, without_glued_page
 
-# fixed values: three-letter language codes and the two-letter ones that stand for them
+# fixed values: three-letter language codes and the two-letter ones that stand for them; the windows of rate limits, the
+# longest first; attempts, the first wait and the pause of a rate limit, in seconds
 LANGUAGES = {"ger": "de", "eng": "en", "fre": "fr", "fra": "fr", "spa": "es", "ita": "it", "dut": "nl", "nld": "nl", "lat": "la", "rus": "ru"}
-WINDOWS = ("day", "hour", "minute")  # of rate limits, the longest first
+WINDOWS = ("day", "hour", "minute")
+ATTEMPTS, FIRST_WAIT, PAUSE = 6, 2.0, 20.0
 
 
 def matches(types: Column, contents: Column) -> Column:
@@ -91,7 +93,7 @@ def binding_window(headers: Column) -> Column:
     return F.coalesce(*(F.when(F.array_contains(spent, w), w) for w in WINDOWS))
 
 
-def retry_delay(attempt: Column, limited: Column, headers: Column, attempts: int = 6, base: float = 2.0, pause: float = 20.0) -> Column:
+def retry_delay(attempt: Column, limited: Column, headers: Column, attempts: int = ATTEMPTS, base: float = FIRST_WAIT, pause: float = PAUSE) -> Column:
     """Seconds to wait after a failed attempt (from 0); null where no further one follows.
 
     A rate limit waits as long as it says, else pause times the attempts made; one for a whole day ends the tries. Any

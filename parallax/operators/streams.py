@@ -17,7 +17,7 @@ def folded(rows: DataFrame, key: list[str], order: list, step: Callable, schema:
 
     step(rows) gets an iterator over a key's rows (tuples) and yields tuples of the schema; rows it leaves are skipped.
     """
-    n, names, arrow = len(key), [*key, *(c for c in rows.columns if c not in key)], to_arrow_schema(schema)
+    names, arrow = [*key, *(c for c in rows.columns if c not in key)], to_arrow_schema(schema)
     at = [names.index(c) for c in key]
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
@@ -51,4 +51,4 @@ def folded(rows: DataFrame, key: list[str], order: list, step: Callable, schema:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow)], schema=arrow)
 
-    return rows.select(*names).repartition(*key[:n]).sortWithinPartitions(*key, *order).mapInArrow(out, schema)
+    return rows.select(*names).repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(out, schema)
