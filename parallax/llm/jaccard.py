@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -206,24 +207,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The postings of sets that may link with another one of the list; all of those that are dealt in blocks."""
         for t in sorted_groups(batches, ["token", "block"]):
-            token, key, block, size, pos = (t.column(c).to_numpy() for c in ("token", "key", "block", "size", "pos"))
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1]) | (key[1:] != key[:-1])
-            at = np.flatnonzero(new)
-            starts = np.append(runs([token[at], block[at]]), len(at))
-            keep = block[at] > 0
-            for lo, hi in zip(starts, starts[1:]):
-                if hi - lo > 1 and not keep[lo]:
-                    one = at[lo:hi]
-                    if hi - lo > 64:  # some set of a fitting size is near in the order of sizes
-                        near = 4 * size[one][:-1] >= 3 * size[one][1:]
-                        keep[lo : hi - 1] |= near
-                        keep[lo + 1 : hi] |= near
-                    else:
-                        i, j = np.triu_indices(hi - lo, 1)
-                        ok = _can(size[one[i]], pos[one[i]], size[one[j]], pos[one[j]])
-                        keep[lo + i[ok]] = True
-                        keep[lo + j[ok]] = True
+            at, keep = _may_link(*(t.column(c).to_numpy() for c in ("token", "block", "key", "size", "pos")))
             yield from t.take(pa.array(at[keep])).to_batches()
 
     dealt = rows.select("text").mapInArrow(prefixes, POSTING).repartition(n, "token", "block").sortWithinPartitions("token", "block", "size", "key")
@@ -240,6 +224,41 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     return _composed(found, components(_between(late, found), scratch))
 
 
+def _may_link(token: np.ndarray, block: np.ndarray, key: np.ndarray, size: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the distinct postings of whole lists, and which of them may link with another one of their list.
+
+    The lists come one after another, by size in each. All small ones are looked at together, so that the calls follow
+    the longest of these and not their number.
+    """
+    at = runs([token, block, key])
+    token, block, size, pos = token[at], block[at], size[at], pos[at]
+    starts = runs([token, block])
+    length = np.diff(np.append(starts, len(at)))
+    stops = np.repeat(starts + length, length)
+    length = np.repeat(length, length)
+    keep = block > 0
+    # in a long list some set of a fitting size is near in the order of sizes
+    i = np.flatnonzero((length > 64) & ~keep)
+    i = i[i + 1 < stops[i]]
+    i = i[4 * size[i] >= 3 * size[i + 1]]
+    keep[i] = keep[i + 1] = True
+    for i, j in _apart(np.flatnonzero((length > 1) & (length <= 64) & (block == 0)), stops, size):
+        new = ~(keep[i] & keep[j])
+        i, j = i[new], j[new]
+        ok = _can(size[i], pos[i], size[j], pos[j])
+        keep[i[ok]] = keep[j[ok]] = True
+    return at, keep
+
+
+def _apart(i: np.ndarray, stops: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of rows of one group that fit by their sizes, which ascend: all that lie one row apart, then two..."""
+    step = 1
+    while len(i := i[i + step < stops[i]]):
+        i = i[4 * size[i] >= 3 * size[i + step]]
+        yield i, i + step
+        step += 1
+
+
 def _placed(lists: DataFrame, found: DataFrame) -> DataFrame:
     """The postings with their sets' components; a set in none is its own."""
     return lists.join(found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -305,9 +324,9 @@ def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: S
             rows: list[np.ndarray] = []
 
             def fold():
-                both = np.unique(np.concatenate(rows), axis=0)
+                both = _distinct(np.concatenate(rows, 1))
                 rows.clear()
-                fresh = [r for r in map(tuple, both.tolist()) if r not in seen]
+                fresh = [r for r in zip(*both.tolist()) if r not in seen]
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 seen.update(fresh)
@@ -316,28 +335,26 @@ def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: S
                     yield table_of(_asked, home=index, asks=asks_, key=name)
 
             waiting = 0
-            for lo, hi in zip(starts, starts[1:]):
-                if changed[hi - 1] == changed[lo]:
-                    continue
-                apart = low[lo] != high[lo]  # then pairs within a block are another group's
-                for i, j in _pairs_of(size[lo:hi], pos[lo:hi]):
-                    i, j = i + lo, j + lo
-                    other = component[i] != component[j]
-                    if apart:
-                        other &= block[i] != block[j]
-                    i, j = i[other], j[other]
-                    ok = _can(size[i], pos[i], size[j], pos[j])
-                    i, j = i[ok], j[ok]
-                    if len(i):
-                        turn = (members[i] > members[j]) | ((members[i] == members[j]) & (component[i] > component[j]))
-                        i, j = np.where(turn, j, i), np.where(turn, i, j)  # i asks where j is
-                        ask = np.unique(np.stack([home[j], np.ones(len(i), np.int64), key[i]], 1), axis=0)
-                        told = np.unique(np.stack([home[j], np.zeros(len(i), np.int64), key[j]], 1), axis=0)
-                        rows += [ask, told]
-                        waiting += len(ask) + len(told)
-                        if waiting > PIECE:
-                            yield from fold()
-                            waiting = 0
+            apart = low != high  # then pairs within a block are another group's
+            length = np.diff(starts)
+            several = changed[starts[1:] - 1] != changed[starts[:-1]]
+            small = np.flatnonzero(np.repeat(several & (length <= 256), length))
+            large = (np.array(p) + lo for lo, hi in zip(starts[:-1][several & (length > 256)], starts[1:][several & (length > 256)]) for p in _pairs_of(size[lo:hi], pos[lo:hi]))
+            for i, j in chain(_apart(small, np.repeat(starts[1:], length), size), large):
+                other = (component[i] != component[j]) & (~apart[i] | (block[i] != block[j]))
+                i, j = i[other], j[other]
+                ok = _can(size[i], pos[i], size[j], pos[j])
+                i, j = i[ok], j[ok]
+                if len(i):
+                    turn = (members[i] > members[j]) | ((members[i] == members[j]) & (component[i] > component[j]))
+                    i, j = np.where(turn, j, i), np.where(turn, i, j)  # i asks where j is
+                    ask = _distinct(np.stack([home[j], np.ones(len(i), np.int64), key[i]]))
+                    told = _distinct(np.stack([home[j], np.zeros(len(i), np.int64), key[j]]))
+                    rows += [ask, told]
+                    waiting += ask.shape[1] + told.shape[1]
+                    if waiting > PIECE:
+                        yield from fold()
+                        waiting = 0
             if rows:
                 yield from fold()
 
@@ -380,12 +397,15 @@ def _search(lists: DataFrame, held_sets: DataFrame, found: DataFrame, scratch: S
     return told.repartition(n, "home", "task").sortWithinPartitions("home", "task", "asks").mapInArrow(find, "a long, b long").where("a <> b")
 
 
+def _distinct(columns: np.ndarray) -> np.ndarray:
+    """The distinct columns of a matrix, sorted."""
+    columns = columns[:, np.lexsort(columns)]
+    return columns[:, runs(list(columns))]
+
+
 def _pairs_of(size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of all sets of a group that may link by their sizes, which ascend, and by the smaller one's place."""
+    """Places of all sets of a large group that may link by their sizes, which ascend, and by the smaller one's place."""
     leads = pos < size - -(-6 * size // 7) + 1
-    if len(size) <= 256:
-        yield np.triu_indices(len(size), 1)
-        return
     for i in np.flatnonzero(leads).tolist():
         # of one size, a set that leads meets those before it that don't
         same = np.arange(np.searchsorted(size, size[i], "left"), i)
