@@ -58,6 +58,13 @@ class Scratch:
         free(self.spark)
         return self.spark.table(self.tables[-1])
 
+    def drop_dealt(self) -> None:
+        """Frees all tables that save_by() wrote."""
+        for table in self.tables:
+            self.spark.sql(f"drop table if exists {table}")
+            self.drop(table)
+        self.tables.clear()
+
     def drop(self, name: str = "") -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)

@@ -221,6 +221,7 @@ def linked(rows: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
         found = scratch.save(_composed(found, components(_between(links, found), scratch)), f"found-{k}")
         tested = tested.union(pairs)
     late = scratch.save(_search(lists, held_sets, found, scratch), "late")
+    scratch.drop_dealt()
     return _composed(found, components(_between(late, found), scratch))
 
 
