@@ -22,6 +22,7 @@ from parallax.llm.common import worker_cache
 
 RARE_SPACE = re.compile(r"[^\S \n]")
 CHUNK = 5_000  # pieces to a call of the library
+KNOWN = 1 << 19  # words of letters whose ids an encoder remembers for its next batches
 AFTER_WORDS = ".,;:!?)\""
 LATIN_WORD = "^[A-Za-zªµºÀ-ÖØ-öø-įı-ſ]+$"  # single code points whose lower case and normal form are as plain
 START = "\r"  # stands before a text's first piece; a text that has one of its own goes to the library whole
@@ -50,6 +51,30 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, entries:
     return flat[at], np.append(0, ends)[edges]
 
 
+class Known:
+    """The ids of words of letters met before. At KNOWN words it begins anew, so it only saves calls."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.edges = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words stand; -1 for a new one."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, words: pa.Array, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        if len(self.words) + len(words) > KNOWN:
+            self.clear()
+        if len(words) <= KNOWN:
+            sizes = np.concatenate([np.diff(self.edges), *(np.diff(e) for _, e in found)])
+            self.words = pa.concat_arrays([self.words, words])
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in found)])
+            self.edges = np.append(0, np.cumsum(sizes))
+
+
 class PieceEncoder:
     """encode() gives the ids of a batch of texts, as the library does by default."""
 
@@ -71,6 +96,7 @@ class PieceEncoder:
             self.widths[i] = len(token) - len(suffix) * bool(suffix and token.endswith(suffix))
         self.signs = {b: c for b, c in byte_signs().items() if b != 10}  # line ends part words
         self.marks: dict[str, np.ndarray] = {"": np.zeros(0, np.uint32)}
+        self.known = {lead: Known() for lead in (False, True)}
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -132,18 +158,35 @@ class PieceEncoder:
             rest = [np.flatnonzero(~simple & ~empty & (bare != lead))]
             words = cores.take(pa.array(some))
             words = (words if self.spaces_count else pc.utf8_lower(words)).dictionary_encode()
-            for lo in range(0, len(words.dictionary), CHUNK):
-                at_word = words.indices.to_numpy() - lo
-                here = (at_word >= 0) & (at_word < CHUNK)
-                found = self._letters(words.dictionary.slice(lo, CHUNK), lead)
+            names_ = words.dictionary.cast(pa.large_string())
+            known = self.known[lead]
+            met = known.places(names_)
+            old, new = np.flatnonzero(met >= 0), np.flatnonzero(met < 0)
+            place = np.full(len(names_), -1)  # of each word's ids among the parts; -1: left to the library
+            if len(old):
+                ids, cuts = gathered(known.flat, known.edges[:-1], np.diff(known.edges), met[old], np.arange(len(old) + 1))
+                place[old] = np.arange(at, at + len(old))
+                at += len(old)
+                flat.append(ids)
+                edges.append(np.diff(cuts))
+            fresh, told = [], []
+            for lo in range(0, len(new), CHUNK):
+                some_new = new[lo : lo + CHUNK]
+                found = self._letters(names_.take(pa.array(some_new)), lead)
                 if found is None:
-                    rest.append(some[here])
-                    behind[some[here]] = 0
                     continue
-                own[some[here]] = at + at_word[here]
-                at += len(found[1]) - 1
+                place[some_new] = np.arange(at, at + len(some_new))
+                at += len(some_new)
                 flat.append(found[0])
                 edges.append(np.diff(found[1]))
+                fresh.append(some_new)
+                told.append(found)
+            if fresh:
+                known.add(names_.take(pa.array(np.concatenate(fresh))), told)
+            own[some] = place[words.indices.to_numpy()]
+            left = some[own[some] < 0]
+            rest.append(left)
+            behind[left] = 0
             others = np.concatenate(rest)
             for lo in range(0, len(others), CHUNK):
                 some = others[lo : lo + CHUNK]
